@@ -87,12 +87,19 @@ def ntile_score(
 
 
 def ntile_scores(
-    df: DataFrame, id_col: str, measures: Mapping[str, Column], n: int = 5, nulls_first: bool = True
+    df: DataFrame,
+    id_col: str,
+    measures: Mapping[str, Column],
+    n: int = 5,
+    nulls_first: bool = True,
+    null_score: int | None = None,
 ) -> DataFrame:
     """Several quantile scores of the same ids in one range shuffle.
 
     ``measures`` maps score names to numeric columns. The rows are stacked by
     measure, ranked within each measure and folded back to one row per id.
+    ``null_score`` replaces the score of missing measures, which still take
+    part in the ranking.
     """
     stacked = df.select(
         id_col,
@@ -107,8 +114,9 @@ def ntile_scores(
     )
     value = F.col("__value").asc_nulls_first() if nulls_first else F.col("__value").asc_nulls_last()
     scored = _positions(stacked, [value, F.col(id_col).asc()], ["__measure"]).withColumn("__score", _bucket(n))
-    # A missing measure always scores 1, wherever its rows were ranked.
-    score = F.when(F.col("__value").isNull(), 1).otherwise(F.col("__score"))
+    score = F.col("__score")
+    if null_score is not None:
+        score = F.when(F.col("__value").isNull(), null_score).otherwise(score)
     picks = [F.max(F.when(F.col("__measure") == name, score)).alias(name) for name in measures]
     return scored.groupBy(id_col).agg(*picks)
 

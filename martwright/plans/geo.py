@@ -191,13 +191,14 @@ def participants(located: DataFrame) -> DataFrame:
             "lat",
             "lon",
             "zone_id",
+            "city",
             F.col("event.message_ts").alias("message_ts"),
         )
         for who in ("message_from", "message_to")
     ]
     both = sides[0].unionByName(sides[1]).dropna(subset=["user_id", "lat", "lon"])
     return both.groupBy("user_id", "date", "lat", "lon").agg(
-        F.min("zone_id").alias("zone_id"), F.min("message_ts").alias("message_ts")
+        F.min("zone_id").alias("zone_id"), F.min("city").alias("city"), F.min("message_ts").alias("message_ts")
     )
 
 
@@ -231,11 +232,10 @@ def recommend_friends(
     # Only users with a channel can be suggested, so the others never reach the pair search.
     members = membership.select("user_id").distinct()
     spots = materialize(participants(located).join(members, "user_id", "left_semi"))
-    names = ["user_id", "date", "lat", "lon", "zone_id", "message_ts"]
     right = spots.select(
         F.col("user_id").alias("user_right"), "date", F.col("lat").alias("lat_b"), F.col("lon").alias("lon_b")
     )
-    met = grid_join(spots.select(*names).withColumnRenamed("user_id", "user_left"), right, km, ["date"])
+    met = grid_join(spots.withColumnRenamed("user_id", "user_left"), right, km, ["date"])
     met = met.where("user_left < user_right")
     # Distances are compared in millimetres so that rounding noise does not pick the meeting.
     closeness = F.struct(
@@ -245,6 +245,7 @@ def recommend_friends(
         "zone_id",
         "lat",
         "lon",
+        "city",
     )
     pairs = met.groupBy("user_left", "user_right").agg(F.min(closeness).alias("meeting"))
 
@@ -255,11 +256,10 @@ def recommend_friends(
     strangers = exclude(pairs, wrote, ["user_left", "user_right"])
     friends = share_member(strangers, membership)
     stamp = F.current_timestamp() if processed is None else F.lit(processed)
-    city = located.select("zone_id", "city").distinct()
-    return friends.withColumn("zone_id", F.col("meeting.zone_id")).join(city, "zone_id", "left").select(
+    return friends.select(
         "user_left",
         "user_right",
         stamp.cast("timestamp_ntz").alias("processed_dttm"),
-        "zone_id",
-        local_time("meeting.message_ts", "city", zones, default_zone).alias("local_time"),
+        F.col("meeting.zone_id").alias("zone_id"),
+        local_time("meeting.message_ts", "meeting.city", zones, default_zone).alias("local_time"),
     )

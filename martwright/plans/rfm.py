@@ -102,6 +102,7 @@ def rfm_segments(
             "frequency": F.coalesce("quantity", F.lit(0)),
             "monetary_value": F.coalesce("amount", F.lit(0)),
         },
+        null_score=1,
     )
     return scores.select("user_id", *SCORES)
 

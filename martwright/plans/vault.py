@@ -271,27 +271,24 @@ def natural_counter_rows(rows: DataFrame) -> DataFrame:
     return rows.select("user_id", "order_id", "product_id", "product_name", F.col("category").alias("category_id"), F.col("category").alias("category_name"))
 
 
-def _count_orders(rows: DataFrame, thing: str, hashed: bool) -> DataFrame:
-    keys = ["user_id", f"{thing}_id"]
-    once = rows.groupBy(*keys, "order_id").agg(F.max(f"{thing}_name").alias(f"{thing}_name"))
-    counts = once.groupBy(*keys).agg(
-        F.max(f"{thing}_name").alias(f"{thing}_name"), F.count(F.lit(1)).alias("order_cnt")
-    )
+def _count_orders(rows: DataFrame, thing: str, hashed: bool, unit: str) -> DataFrame:
+    keys, name = ["user_id", f"{thing}_id"], F.max(f"{thing}_name").alias(f"{thing}_name")
+    once = rows.groupBy(*dict.fromkeys([*keys, "order_id", unit])).agg(name)
+    counts = once.groupBy(*keys).agg(name, F.count(F.lit(1)).alias("order_cnt"))
     if hashed:
         return counts
-    return counts.select(
-        *[uuid3(F.col(k).cast("string")).alias(k) for k in keys], f"{thing}_name", "order_cnt"
-    )
+    return counts.select(*[uuid3(F.col(k).cast("string")).alias(k) for k in keys], f"{thing}_name", "order_cnt")
 
 
 def user_product_counters(rows: DataFrame, hashed: bool = False) -> DataFrame:
     """Orders per user and product; a product listed twice in an order counts once.
 
-    ``hashed`` says that the ids are hub keys already.
+    ``hashed`` says that the ids are hub keys already; else only the counted
+    keys are hashed.
     """
-    return _count_orders(rows, "product", hashed)
+    return _count_orders(rows, "product", hashed, "order_id")
 
 
-def user_category_counters(rows: DataFrame, hashed: bool = False) -> DataFrame:
-    """Orders per user and category."""
-    return _count_orders(rows, "category", hashed)
+def user_category_counters(rows: DataFrame, hashed: bool = False, per_product: bool = False) -> DataFrame:
+    """Orders per user and category, or ordered products per user and category."""
+    return _count_orders(rows, "category", hashed, "product_id" if per_product else "order_id")
