@@ -85,6 +85,13 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def landed(t: Inputs, df: DataFrame, name: str) -> DataFrame:
+    """Write a derived input as a table and read it back, as its job would find it."""
+    folder = fresh_folder(t.spark, name)
+    full_refresh(df, folder)
+    return t.spark.read.parquet(folder)
+
+
 # Scores per user
 
 
@@ -149,7 +156,7 @@ def ship_transfer(t: Inputs) -> DataFrame:
 
 @query
 def ship_info(t: Inputs) -> DataFrame:
-    log = t.shipping
+    log = landed(t, t.shipping, "shipping")
     return sh.shipping_info(log, sh.transfers(log), sh.country_rates(log))
 
 
@@ -165,7 +172,7 @@ def ship_latest_states(t: Inputs) -> DataFrame:
 
 @query
 def ship_mart(t: Inputs) -> DataFrame:
-    return sh.shipping_tables(t.shipping)["shipping_datamart"]
+    return sh.shipping_tables(landed(t, t.shipping, "shipping"))["shipping_datamart"]
 
 
 # Retention

@@ -10,7 +10,7 @@ from martwright.functions.dates import (
     time_of,
 )
 from martwright.functions.geo import EARTH_RADIUS_KM, haversine_km, parse_decimal_comma
-from martwright.functions.keys import OID_NAMESPACE, hash_key, uuid3
+from martwright.functions.keys import OID_NAMESPACE, hash_key, uuid3, uuid3_each
 from martwright.functions.money import (
     PAY_TIERS,
     courier_pay,
@@ -51,5 +51,6 @@ __all__ = [
     "time_of",
     "to_base",
     "uuid3",
+    "uuid3_each",
     "whole_days",
 ]

@@ -9,24 +9,43 @@ from pyspark.sql import functions as F
 OID_NAMESPACE = "6ba7b812-9dad-11d1-80b4-00c04fd430c8"
 
 
-def uuid3(text: Column | str, namespace: str = OID_NAMESPACE) -> Column:
-    """Name-based UUID, version 3: MD5 of namespace and text with version and variant bits set."""
-    name = F.col(text) if isinstance(text, str) else text
-    digest = F.md5(
-        F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(name.cast("string"), "UTF-8"))
-    )
+def _digest(text: Column, namespace: str) -> Column:
+    return F.md5(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(text.cast("string"), "UTF-8")))
+
+
+def _layout(digest: Column) -> Column:
+    """The digest with version and variant bits set, in groups of 8-4-4-4-12 digits."""
     # The two top bits of hex digit 17 become binary 10, the two low bits stay.
     variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab" * 4)
-    return F.concat_ws(
-        "-",
+    return F.concat(
         F.substring(digest, 1, 8),
+        F.lit("-"),
         F.substring(digest, 9, 4),
-        F.concat(F.lit("3"), F.substring(digest, 14, 3)),
-        F.concat(variant, F.substring(digest, 18, 3)),
+        F.lit("-3"),
+        F.substring(digest, 14, 3),
+        F.lit("-"),
+        variant,
+        F.substring(digest, 18, 3),
+        F.lit("-"),
         F.substring(digest, 21, 12),
     )
 
 
+def uuid3(text: Column | str, namespace: str = OID_NAMESPACE) -> Column:
+    """Name-based UUID, version 3: MD5 of namespace and text with version and variant bits set."""
+    return _layout(_digest(F.col(text) if isinstance(text, str) else text, namespace))
+
+
+def uuid3_each(texts: Column, namespace: str = OID_NAMESPACE) -> Column:
+    """``uuid3`` of every element of an array.
+
+    Lambda bodies do not share subexpressions, so the digests are made in one
+    pass and laid out in the next.
+    """
+    digests = F.transform(texts, lambda text: _digest(text, namespace))
+    return F.transform(digests, _layout)
+
+
 def hash_key(*columns: Column | str) -> Column:
     """MD5 of the values joined by ``:``; NULL if any value is NULL."""
     parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]

@@ -8,11 +8,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.functions import EARTH_RADIUS_KM, haversine_km
+from martwright.functions import EARTH_RADIUS_KM
 from martwright.session import materialize
 
 # Cells with more rows than this are split into pieces that are joined by separate tasks.
 HOT_CELL_ROWS = 20_000
+# No cell is reached from more cells than this: three bands with at most twelve cells each.
+_REACHED_FROM = 36
 # Up to this many points are compared with each row in one expression, without a join.
 INLINE_POINTS = 200
 
@@ -31,6 +33,7 @@ class _Grid:
     def __init__(self, km: float):
         # A little slack keeps points at exactly the distance inside the searched cells.
         self.reach = min(math.pi, (km * (1 + 1e-9) + 1e-6) / EARTH_RADIUS_KM)
+        self.square_chord = (2 * math.sin(self.reach / 2)) ** 2
         self.height = math.degrees(self.reach)
         self.bands = max(1, math.ceil(180.0 / self.height))
 
@@ -94,22 +97,49 @@ def grid_join(
     lat, lon = F.col(a_at[0]), F.col(a_at[1])
     band = grid.band(lat)
     placed = a.withColumn("__band", band).withColumn("__cell", grid.own_cell(lon, grid.cells_in(F.col("__band"))))
-    reach = b.withColumn("__at", F.explode(grid.searched_cells(F.col(b_at[0]), F.col(b_at[1]))))
+    # Unit vectors are made once per row, so that a pair costs a few multiplications.
+    placed = _with_vector(placed, a_at, "__a")
+    reach = _with_vector(b, b_at, "__b").withColumn("__at", F.explode(grid.searched_cells(F.col(b_at[0]), F.col(b_at[1]))))
     reach = reach.withColumn("__band", F.col("__at.__band")).withColumn("__cell", F.col("__at.__cell")).drop("__at")
 
-    cell = [*same, "__band", "__cell"]
-    crowd = [side.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows) for side in (placed, reach)]
-    hot = materialize(
-        crowd[0].unionByName(crowd[1]).groupBy(*cell).agg(F.ceil(F.max("__n") / hot_rows).cast("int").alias("__k"))
-    )
-    keys = cell
-    if not hot.isEmpty():
+    keys = cell = [*same, "__band", "__cell"]
+    b_lat, b_lon = F.col(b_at[0]), F.col(b_at[1])
+    b_band = grid.band(b_lat)
+    b_own = [*same, b_band.alias("__band"), grid.own_cell(b_lon, grid.cells_in(b_band)).alias("__cell")]
+    # A cell can only be reached from few cells, so without a fairly full cell none is crowded.
+    if not (_crowded(placed, cell, hot_rows).isEmpty() and _crowded(b, b_own, hot_rows // _REACHED_FROM).isEmpty()):
+        crowd = _crowded(placed, cell, hot_rows).unionByName(_crowded(reach, cell, hot_rows))
+        parts = F.ceil(F.max("__n") / hot_rows).cast("int").alias("__k")
+        hot = materialize(crowd.groupBy(*cell).agg(parts))
         keys = [*cell, "__piece_a", "__piece_b"]
         placed = _pieces(placed, hot, cell, a.columns, "__piece_a", "__piece_b")
         reach = _pieces(reach, hot, cell, b.columns, "__piece_b", "__piece_a")
-    distance = haversine_km(*a_at, *b_at)
-    joined = placed.join(reach, keys).withColumn("distance_km", distance).where(F.col("distance_km") <= km)
-    return joined.drop("__band", "__cell", "__piece_a", "__piece_b")
+    square = sum(_square(F.col(f"__a{i}") - F.col(f"__b{i}")) for i in "xyz")
+    met = placed.join(reach, keys).withColumn("__square", square).where(F.col("__square") <= grid.square_chord)
+    found = met.withColumn("distance_km", _chord_km(F.col("__square"))).where(F.col("distance_km") <= km)
+    columns = [c for c in dict.fromkeys([*a.columns, *b.columns])]
+    return found.select(*columns, "distance_km")
+
+
+def _with_vector(df: DataFrame, at: tuple[str, str], name: str) -> DataFrame:
+    """Add the unit vector of a position as ``<name>x``, ``<name>y`` and ``<name>z``."""
+    phi, lam = F.radians(F.col(at[0])), F.radians(F.col(at[1]))
+    vector = {"x": F.cos(phi) * F.cos(lam), "y": F.cos(phi) * F.sin(lam), "z": F.sin(phi)}
+    return df.withColumns({f"{name}{axis}": value for axis, value in vector.items()})
+
+
+def _square(value: Column) -> Column:
+    return value * value
+
+
+def _chord_km(square: Column) -> Column:
+    """Great-circle distance from the squared chord of two unit vectors."""
+    return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), F.sqrt(square) / 2))
+
+
+def _crowded(df: DataFrame, cell: Sequence[Column | str], rows: int) -> DataFrame:
+    """Cells with more rows than allowed; counts combine before the shuffle."""
+    return df.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows)
 
 
 def _pieces(
@@ -141,57 +171,44 @@ def nearest(
     shuffle. A larger set is searched by growing grid joins over the distinct
     positions. Rows without a position get NULL.
     """
-    head = points.select(id_col, *attrs, *points_at).orderBy(id_col).limit(inline_points + 1).collect()
-    if len(head) <= inline_points:
-        return _nearest_inline(df, points, head, id_col, attrs, at, points_at)
-    return _nearest_grid(df, points, id_col, attrs, at, points_at, first_km)
-
-
-def _nearest_inline(df, points, rows, id_col, attrs, at, points_at) -> DataFrame:
-    types = {f.name: f.dataType for f in points.schema.fields}
     kept = [c for c in dict.fromkeys([id_col, *attrs]) if c not in df.columns]
-    if not rows:
-        return df.select("*", *[F.lit(None).cast(types[c]).alias(c) for c in kept], F.lit(None).cast("double").alias("distance_km"))
-    # Squared chord between unit vectors grows with the great-circle distance and is cheap.
-    phi, lam = F.radians(F.col(at[0])), F.radians(F.col(at[1]))
-    vector = F.struct(
-        (F.cos(phi) * F.cos(lam)).alias("x"), (F.cos(phi) * F.sin(lam)).alias("y"), F.sin(phi).alias("z")
-    )
-    base = df.withColumn("__v", vector)
-    options = []
-    for n, row in enumerate(rows):
+    located = points.select(*dict.fromkeys([id_col, *attrs, *points_at])).dropna(subset=list(points_at))
+    few = located.orderBy(id_col).limit(inline_points + 1).collect()
+    if 0 < len(few) <= inline_points:
+        return _nearest_inline(df, located, few, kept, at, points_at)
+    return _nearest_grid(df, located, id_col, kept, at, points_at, first_km)
+
+
+def _nearest_inline(df, points, few, kept, at, points_at) -> DataFrame:
+    """Compare squared chords between unit vectors, which grow with the great-circle distance."""
+    placed = _with_vector(df, at, "__")
+    chords = []
+    for row in few:
         p, q = math.radians(row[points_at[0]]), math.radians(row[points_at[1]])
-        dx = F.col("__v.x") - math.cos(p) * math.cos(q)
-        dy = F.col("__v.y") - math.cos(p) * math.sin(q)
-        dz = F.col("__v.z") - math.sin(p)
-        options.append(F.struct((dx * dx + dy * dy + dz * dz).alias("d"), F.lit(n).alias("n")))
-    best = options[0] if len(options) == 1 else F.least(*options)
-    table = F.array(
-        *[
-            F.struct(
-                *[F.lit(row[c]).cast(types[c]).alias(c) for c in dict.fromkeys([id_col, *attrs])],
-                F.lit(row[points_at[0]]).alias("__lat"),
-                F.lit(row[points_at[1]]).alias("__lon"),
-            )
-            for row in rows
-        ]
-    )
-    known = F.col(at[0]).isNotNull() & F.col(at[1]).isNotNull()
-    found = base.withColumn("__hit", F.when(known, F.get(table, best["n"])))
-    distance = haversine_km(F.col(at[0]), F.col(at[1]), F.col("__hit.__lat"), F.col("__hit.__lon"))
-    return found.select(*df.columns, *[F.col(f"__hit.{c}").alias(c) for c in kept], distance.alias("distance_km"))
+        dx = F.col("__x") - math.cos(p) * math.cos(q)
+        dy = F.col("__y") - math.cos(p) * math.sin(q)
+        dz = F.col("__z") - math.sin(p)
+        chords.append(dx * dx + dy * dy + dz * dz)
+    measured = placed.withColumn("__all", F.array(*chords)).withColumn("__least", F.array_min("__all"))
+    # The first of equal distances has the lowest id because the points are in id order.
+    found = measured.withColumn("__n", F.array_position("__all", F.col("__least")).cast("int") - 1)
+    types = {f.name: f.dataType for f in points.schema.fields}
+    values = [
+        F.get(F.array(*[F.lit(row[c]).cast(types[c]) for row in few]), F.col("__n")).alias(c) for c in kept
+    ]
+    return found.select(*df.columns, *values, _chord_km(F.col("__least")).alias("distance_km"))
 
 
-def _nearest_grid(df, points, id_col, attrs, at, points_at, first_km) -> DataFrame:
-    kept = [c for c in dict.fromkeys([id_col, *attrs]) if c not in df.columns]
+def _nearest_grid(df, points, id_col, kept, at, points_at, first_km) -> DataFrame:
+    """Search the distinct positions in growing radii; a hit within the radius is exact."""
     spots = materialize(
         df.select(F.col(at[0]).alias("__lat"), F.col(at[1]).alias("__lon")).dropna().distinct()
     )
     targets = points.select(
-        *[F.col(c).alias(f"__p_{c}") for c in dict.fromkeys([id_col, *attrs])],
+        *[F.col(c).alias(f"__p_{c}") for c in dict.fromkeys([id_col, *kept])],
         F.col(points_at[0]).alias("__plat"),
         F.col(points_at[1]).alias("__plon"),
-    ).dropna(subset=["__plat", "__plon"])
+    )
     order = F.struct("distance_km", f"__p_{id_col}", *[f"__p_{c}" for c in kept if c != id_col])
     found, radius, half_way = None, first_km, math.pi * EARTH_RADIUS_KM
     while True:

@@ -50,25 +50,22 @@ def transfers(shipping: DataFrame) -> DataFrame:
 def shipping_info(shipping: DataFrame, transfer_dim: DataFrame, country_dim: DataFrame) -> DataFrame:
     """One row per shipment with the ids of its transfer, country and agreement.
 
-    The distinct runs before the lookups, on the texts, so the dimensions are
-    joined to shipments and not to log rows. The transfer and country rates
-    are part of the dimension keys, so a shipment never matches twice.
+    The small dimensions are looked up first, so the shuffle of the distinct
+    carries ids instead of texts. The rates are part of the dimension keys, so
+    a row never matches twice.
     """
     text = "shipping_transfer_description"
-    rows = distinct_rows(
-        shipping,
-        [
-            "shippingid",
-            "vendorid",
-            "shipping_plan_datetime",
-            "payment_amount",
-            split_part(text, ":", 1).alias("transfer_type"),
-            split_part(text, ":", 2).alias("transfer_model"),
-            "shipping_transfer_rate",
-            "shipping_country",
-            "shipping_country_base_rate",
-            split_part("vendor_agreement_description", ":", 1).try_cast("long").alias("agreementid"),
-        ],
+    rows = shipping.select(
+        "shippingid",
+        "vendorid",
+        "shipping_plan_datetime",
+        "payment_amount",
+        split_part(text, ":", 1).alias("transfer_type"),
+        split_part(text, ":", 2).alias("transfer_model"),
+        "shipping_transfer_rate",
+        "shipping_country",
+        "shipping_country_base_rate",
+        split_part("vendor_agreement_description", ":", 1).try_cast("long").alias("agreementid"),
     )
     rows = star(
         rows,
@@ -77,15 +74,8 @@ def shipping_info(shipping: DataFrame, transfer_dim: DataFrame, country_dim: Dat
             (country_dim, ["shipping_country", "shipping_country_base_rate"], ["shipping_country_id"]),
         ],
     )
-    return rows.select(
-        "shippingid",
-        "vendorid",
-        "shipping_plan_datetime",
-        "payment_amount",
-        "transfer_type_id",
-        "shipping_country_id",
-        "agreementid",
-    ).distinct()
+    columns = ["shippingid", "vendorid", "shipping_plan_datetime", "payment_amount"]
+    return distinct_rows(rows, [*columns, "transfer_type_id", "shipping_country_id", "agreementid"])
 
 
 def shipping_status(shipping: DataFrame, start_state: str = "booked", end_state: str = "recieved") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martwright.functions import uuid3
+from martwright.functions import uuid3, uuid3_each
 from martwright.operators import first_by
 
 SOURCE = "dds-layer-orders-kafka"
@@ -145,37 +145,58 @@ def vault_tables(rows: DataFrame, names: Sequence[str] | None = None) -> dict[st
 def order_message(messages: DataFrame) -> DataFrame:
     """The enriched outgoing message: one row in, one row out, no shuffle."""
     loaded = [F.col("load_dt").alias("load_dt"), F.lit(SOURCE).alias("load_src")]
-    ids = messages.select(
-        "object_id",
-        "load_dt",
-        "payload",
-        uuid3(F.col("payload.restaurant.id")).alias("r_pk"),
-        uuid3(F.col("payload.user.id")).alias("u_pk"),
-        uuid3(F.col("payload.id")).alias("o_pk"),
-        F.transform(
-            "payload.products",
-            lambda p: F.struct(
-                p["id"].alias("id"),
-                p["name"].alias("name"),
-                p["category"].alias("category"),
-                uuid3(p["id"]).alias("p_pk"),
-                uuid3(p["category"]).alias("c_pk"),
+    products = F.col("payload.products")
+    ids = (
+        messages.withColumn("r", uuid3(F.col("payload.restaurant.id")))
+        .withColumn("u", uuid3(F.col("payload.user.id")))
+        .withColumn("o", uuid3(F.col("payload.id")))
+        .withColumn("p_pk", uuid3_each(products["id"]))
+        .withColumn("c_pk", uuid3_each(products["category"]))
+    )
+
+    def joined(left: Column, right: Column) -> Column:
+        return uuid3_each(F.zip_with(left, right, lambda a, b: F.concat(a, b)))
+
+    o, u, r = F.col("o"), F.col("u"), F.col("r")
+    p_pk, c_pk, names = F.col("p_pk"), F.col("c_pk"), products["name"]
+    ids = (
+        ids.withColumn("op_pk", uuid3_each(F.transform(p_pk, lambda p: F.concat(o, p))))
+        .withColumn("pc_pk", joined(p_pk, c_pk))
+        .withColumn("pr_pk", uuid3_each(F.transform(p_pk, lambda p: F.concat(p, r))))
+        .withColumn("pn_pk", joined(p_pk, names))
+        .withColumn(
+            "items",
+            F.arrays_zip(
+                products["id"].alias("id"),
+                names.alias("name"),
+                products["category"].alias("category"),
+                "p_pk",
+                "c_pk",
+                "op_pk",
+                "pc_pk",
+                "pr_pk",
+                "pn_pk",
             ),
-        ).alias("items"),
+        )
     )
 
-    def each(build) -> Column:
-        return F.transform("items", lambda i: F.struct(*build(i), *loaded))
+    def each(**fields: str | Column) -> Column:
+        """One struct per product: output name -> item field, or a column of the message."""
+        return F.transform(
+            "items",
+            lambda i: F.struct(
+                *[(i[f] if isinstance(f, str) else f).alias(name) for name, f in fields.items()], *loaded
+            ),
+        )
 
     def pair(pk: str, a: Column, a_name: str, b: Column, b_name: str) -> list[Column]:
         return [uuid3(F.concat(a, b)).alias(pk), a.alias(a_name), b.alias(b_name)]
 
-    r, u, o = F.col("r_pk"), F.col("u_pk"), F.col("o_pk")
     body = F.struct(
         F.struct(r.alias("h_restaurant_pk"), F.col("payload.restaurant.id").alias("restaurant_id"), *loaded).alias("h_restaurant"),
         F.struct(u.alias("h_user_pk"), F.col("payload.user.id").alias("user_id"), *loaded).alias("h_user"),
-        each(lambda i: [i["p_pk"].alias("h_product_pk"), i["id"].alias("product_id")]).alias("h_product"),
-        each(lambda i: [i["c_pk"].alias("h_category_pk"), i["category"].alias("category_name")]).alias("h_category"),
+        each(h_product_pk="p_pk", product_id="id").alias("h_product"),
+        each(h_category_pk="c_pk", category_name="category").alias("h_category"),
         F.struct(
             o.alias("h_order_pk"),
             F.col("payload.id").alias("order_id"),
@@ -183,9 +204,9 @@ def order_message(messages: DataFrame) -> DataFrame:
             *loaded,
         ).alias("h_order"),
         F.struct(*pair("hk_order_user_pk", o, "h_order_pk", u, "h_user_pk"), *loaded).alias("l_order_user"),
-        each(lambda i: pair("hk_order_product_pk", o, "h_order_pk", i["p_pk"], "h_product_pk")).alias("l_order_product"),
-        each(lambda i: pair("hk_product_category_pk", i["p_pk"], "h_product_pk", i["c_pk"], "h_category_pk")).alias("l_product_category"),
-        each(lambda i: pair("hk_product_restaurant_pk", i["p_pk"], "h_product_pk", r, "h_restaurant_pk")).alias("l_product_restaurant"),
+        each(hk_order_product_pk="op_pk", h_order_pk=o, h_product_pk="p_pk").alias("l_order_product"),
+        each(hk_product_category_pk="pc_pk", h_product_pk="p_pk", h_category_pk="c_pk").alias("l_product_category"),
+        each(hk_product_restaurant_pk="pr_pk", h_product_pk="p_pk", h_restaurant_pk=r).alias("l_product_restaurant"),
         F.struct(
             uuid3(F.concat(u, F.col("payload.user.name"))).alias("hk_user_names_pk"),
             u.alias("h_user_pk"),
@@ -212,13 +233,7 @@ def order_message(messages: DataFrame) -> DataFrame:
             F.col("payload.restaurant.name").alias("name"),
             *loaded,
         ).alias("s_restaurant_names"),
-        each(
-            lambda i: [
-                uuid3(F.concat(i["p_pk"], i["name"])).alias("hk_product_names_pk"),
-                i["p_pk"].alias("h_product_pk"),
-                i["name"].alias("name"),
-            ]
-        ).alias("s_product_names"),
+        each(hk_product_names_pk="pn_pk", h_product_pk="p_pk", name="name").alias("s_product_names"),
     )
     return ids.select("object_id", F.lit("order").alias("object_type"), F.to_json(body).alias("payload"))
 
