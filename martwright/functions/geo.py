@@ -21,8 +21,8 @@ def haversine_km(
     half_lat = F.sin((phi2 - phi1) / 2)
     half_lon = F.sin((F.radians(_col(lon2)) - F.radians(_col(lon1))) / 2)
     chord = half_lat * half_lat + F.cos(phi1) * F.cos(phi2) * half_lon * half_lon
-    # Rounding may push the term of antipodal points just above one.
-    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
+    # Rounding may push the term of antipodal points just above one; NULL stays NULL.
+    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.when(chord > 1.0, 1.0).otherwise(chord)))
 
 
 def parse_decimal_comma(text: Column | str) -> Column:

@@ -19,10 +19,6 @@ _REACHED_FROM = 36
 INLINE_POINTS = 200
 
 
-def _pmod(value: Column, n: Column) -> Column:
-    return F.pmod(value, n)
-
-
 class _Grid:
     """Latitude bands as high as the distance, each cut into cells at least as wide as the distance.
 
@@ -47,7 +43,7 @@ class _Grid:
         return F.greatest(F.lit(1), F.floor(360.0 * F.cos(F.radians(edge)) / self.height)).cast("long")
 
     def own_cell(self, lon: Column, cells: Column) -> Column:
-        return _pmod(F.floor((lon + 180.0) / 360.0 * cells), cells)
+        return F.pmod(F.floor((lon + 180.0) / 360.0 * cells), cells)
 
     def half_width(self, lat: Column) -> Column:
         """Largest longitude difference within the distance, in degrees."""
@@ -67,7 +63,7 @@ class _Grid:
             last = F.least(last, first + cells - 1)
             return F.transform(
                 F.sequence(first, last),
-                lambda c: F.struct(band.cast("int").alias("__band"), _pmod(c, cells).alias("__cell")),
+                lambda c: F.struct(band.cast("int").alias("__band"), F.pmod(c, cells).alias("__cell")),
             )
 
         near = F.filter(
@@ -89,10 +85,11 @@ def grid_join(
 
     Every row of ``a`` has one cell and every row of ``b`` is sent to the cells
     it can reach, so each pair meets once. Rows of ``a`` and ``b`` must be
-    distinct. A crowded cell is cut into k x k pieces: each side is cut by its
+    distinct; rows without a position are left out. A crowded cell is cut into k x k pieces: each side is cut by its
     hash and repeated for the pieces of the other side, so no task gets more
     than about ``hot_rows`` rows of either side and no pair is lost.
     """
+    a, b = a.dropna(subset=list(a_at)), b.dropna(subset=list(b_at))
     grid = _Grid(km)
     lat, lon = F.col(a_at[0]), F.col(a_at[1])
     band = grid.band(lat)
@@ -117,8 +114,7 @@ def grid_join(
     square = sum(_square(F.col(f"__a{i}") - F.col(f"__b{i}")) for i in "xyz")
     met = placed.join(reach, keys).withColumn("__square", square).where(F.col("__square") <= grid.square_chord)
     found = met.withColumn("distance_km", _chord_km(F.col("__square"))).where(F.col("distance_km") <= km)
-    columns = [c for c in dict.fromkeys([*a.columns, *b.columns])]
-    return found.select(*columns, "distance_km")
+    return found.select(*dict.fromkeys([*a.columns, *b.columns]), "distance_km")
 
 
 def _with_vector(df: DataFrame, at: tuple[str, str], name: str) -> DataFrame:
@@ -134,7 +130,8 @@ def _square(value: Column) -> Column:
 
 def _chord_km(square: Column) -> Column:
     """Great-circle distance from the squared chord of two unit vectors."""
-    return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), F.sqrt(square) / 2))
+    half = F.sqrt(square) / 2
+    return 2 * EARTH_RADIUS_KM * F.asin(F.when(half > 1.0, 1.0).otherwise(half))
 
 
 def _crowded(df: DataFrame, cell: Sequence[Column | str], rows: int) -> DataFrame:

@@ -253,7 +253,8 @@ def recommend_friends(
         F.least("event.message_from", "event.message_to").alias("user_left"),
         F.greatest("event.message_from", "event.message_to").alias("user_right"),
     ).distinct()
-    strangers = exclude(pairs, wrote, ["user_left", "user_right"])
+    # The channel check reads the pairs twice; the pair search must run once.
+    strangers = materialize(exclude(pairs, wrote, ["user_left", "user_right"]))
     friends = share_member(strangers, membership)
     stamp = F.current_timestamp() if processed is None else F.lit(processed)
     return friends.select(
