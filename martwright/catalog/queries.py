@@ -407,23 +407,26 @@ def geo_actual_city(t: Inputs) -> DataFrame:
 
 @query
 def geo_home_city(t: Inputs) -> DataFrame:
-    return ge.home_city(_visits(t), MIN_DAYS)
+    visits = _visits(t)
+    return ge.home_city(visits, MIN_DAYS, hot=ge.busy_users(visits))
 
 
 @query
 def geo_home_city_open(t: Inputs) -> DataFrame:
-    return ge.home_city(_visits(t), MIN_DAYS, GEO_DAY, include_open_stay=True)
+    visits = _visits(t)
+    return ge.home_city(visits, MIN_DAYS, GEO_DAY, include_open_stay=True, hot=ge.busy_users(visits))
 
 
 @query
 def geo_user_city(t: Inputs) -> DataFrame:
     visits = _visits(t)
-    return ge.user_city(ge.actual_city(visits), ge.home_city(visits, MIN_DAYS)).drop("message_ts")
+    return ge.user_city(ge.actual_city(visits), ge.home_city(visits, MIN_DAYS, hot=ge.busy_users(visits))).drop("message_ts")
 
 
 @query
 def geo_travel(t: Inputs) -> DataFrame:
-    return ge.travel(_visits(t))
+    visits = _visits(t)
+    return ge.travel(visits, ge.busy_users(visits))
 
 
 @query

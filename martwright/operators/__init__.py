@@ -1,6 +1,6 @@
 """Reusable DataFrame operators."""
 
-from martwright.operators.changes import change_points, previous_value
+from martwright.operators.changes import change_points, hot_keys, previous_value
 from martwright.operators.filters import (
     active_at,
     fill_zero,
@@ -70,6 +70,7 @@ __all__ = [
     "grid_join",
     "having",
     "high_water",
+    "hot_keys",
     "inner",
     "insert_new",
     "keep_in",

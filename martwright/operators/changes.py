@@ -7,29 +7,56 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from martwright.operators.joins import broadcast_if_small
+from martwright.session import materialize
+
+# A key with more rows than this is not sorted by one task.
+HOT_KEY_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame | None:
+    """Keys with more rows than allowed, or None; there are at most rows / hot_rows of them.
+
+    Only the key column is read, and counts combine before the shuffle.
+    """
+    crowded = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows).select(key)
+    found = materialize(crowded)
+    return None if found.isEmpty() else found
+
 
 def previous_value(
-    df: DataFrame, key: str, ts: str, tie: Sequence[str], values: Sequence[str], every: str = "hour"
+    df: DataFrame,
+    key: str,
+    ts: str,
+    tie: Sequence[str],
+    values: Sequence[str],
+    hot: DataFrame | None = None,
+    every: str = "minute",
 ) -> DataFrame:
     """Add ``prev_<value>`` from the preceding row of the key, NULL for the first row.
 
-    A plain lag would sort all rows of a key in one task. Here each (key, time
-    slice) is sorted on its own; only the first row of a slice looks at the
-    slice before it, and there is one such row per slice.
+    Rows of a hot key (see ``hot_keys``) are cut into time slices that are
+    sorted by separate tasks; only the first row of a slice looks at the slice
+    before it, and there is one such row per slice.
     """
-    slice_of = Window.partitionBy(key, "__slice").orderBy(ts, *tie)
-    whole = slice_of.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    packed = F.struct(*values)
+    named = [F.col(f"__prev.{v}").alias(f"prev_{v}") for v in values]
+    if hot is None:
+        order = Window.partitionBy(key).orderBy(ts, *tie)
+        return df.withColumn("__prev", F.lag(packed).over(order)).select(*df.columns, *named)
+
+    marks = broadcast_if_small(hot.select(key).withColumn("__hot", F.lit(True)))
+    sliced = df.join(marks, key, "left").withColumn("__slice", F.when(F.col("__hot"), F.date_trunc(every, F.col(ts))))
+    order = Window.partitionBy(key, "__slice").orderBy(ts, *tie)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     marked = (
-        df.withColumn("__slice", F.date_trunc(every, F.col(ts)))
-        .withColumn("__n", F.row_number().over(slice_of))
-        .withColumn("__prev", F.lag(F.struct(*values)).over(slice_of))
-        .withColumn("__tail", F.last(F.struct(*values)).over(whole))
+        sliced.withColumn("__n", F.row_number().over(order))
+        .withColumn("__prev", F.lag(packed).over(order))
+        .withColumn("__tail", F.last(packed).over(whole))
     )
     slices = Window.partitionBy(key).orderBy("__slice")
     heads = marked.where("__n = 1").withColumn("__prev", F.lag("__tail").over(slices))
-    rest = marked.where("__n > 1")
-    linked = rest.unionByName(heads)
-    return linked.select(*df.columns, *[F.col(f"__prev.{v}").alias(f"prev_{v}") for v in values])
+    return marked.where("__n > 1").unionByName(heads).select(*df.columns, *named)
 
 
 def change_points(
@@ -39,10 +66,10 @@ def change_points(
     ts: str,
     tie: Sequence[str] = (),
     keep_first: bool = False,
-    every: str = "hour",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose value differs from the row before; the first row of a key only if asked."""
-    linked = previous_value(df, key, ts, tie, [value], every)
+    linked = previous_value(df, key, ts, tie, [value], hot)
     changed = F.col(f"prev_{value}") != F.col(value)
     if keep_first:
         changed = changed | F.col(f"prev_{value}").isNull()

@@ -17,6 +17,7 @@ from martwright.operators import (
     first_by,
     full,
     grid_join,
+    hot_keys,
     nearest,
     ordered_list,
     previous_value,
@@ -79,22 +80,31 @@ def actual_city(visits: DataFrame) -> DataFrame:
     )
 
 
-def _moves(visits: DataFrame) -> DataFrame:
+def busy_users(visits: DataFrame) -> DataFrame | None:
+    """Users with too many events for one task, or None; pass the answer to the functions below."""
+    return hot_keys(visits, "user_id")
+
+
+def _moves(visits: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Rows where a user appears in another city than before, first row included."""
     rows = visits.select("user_id", "message_ts", "message_id", "date", "city")
-    return change_points(rows, "user_id", "city", "message_ts", ["message_id"], keep_first=True)
+    return change_points(rows, "user_id", "city", "message_ts", ["message_id"], keep_first=True, hot=hot)
 
 
 def home_city(
-    visits: DataFrame, min_days: int = 27, run_date: str | date | None = None, include_open_stay: bool = False
+    visits: DataFrame,
+    min_days: int = 27,
+    run_date: str | date | None = None,
+    include_open_stay: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """City of the latest stay of at least ``min_days`` days.
 
     A stay is known once the user leaves it. ``include_open_stay`` also counts
-    the last stay, up to the run date.
+    the last stay, up to the run date. ``hot`` is the result of ``busy_users``.
     """
-    moves = _moves(visits)
-    linked = previous_value(moves, "user_id", "message_ts", ["message_id"], ["date"])
+    moves = _moves(visits, hot)
+    linked = previous_value(moves, "user_id", "message_ts", ["message_id"], ["date"], hot)
     stayed = linked.where(F.datediff("date", "prev_date") >= min_days)
     order = [F.col("message_ts").desc(), F.col("message_id").desc()]
     closed = first_by(stayed, ["user_id"], order).select("user_id", F.col("prev_city").alias("home_city"))
@@ -114,9 +124,9 @@ def user_city(actual: DataFrame, home: DataFrame) -> DataFrame:
     return full(actual, home, ["user_id"]).select("user_id", "act_city", "home_city", "message_ts")
 
 
-def travel(visits: DataFrame) -> DataFrame:
+def travel(visits: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Number and list of city changes per user, in time order."""
-    moved = _moves(visits).where(F.col("prev_city").isNotNull())
+    moved = _moves(visits, hot).where(F.col("prev_city").isNotNull())
     listed = ordered_list(moved, ["user_id"], "city", ["message_ts", "message_id"], "travel_array")
     return listed.withColumn("travel_count", F.size("travel_array")).select("user_id", "travel_count", "travel_array")
 
@@ -130,8 +140,9 @@ def user_geo(
     include_open_stay: bool = False,
 ) -> DataFrame:
     """Actual city, home city, travel and local time of the last event per user."""
-    base = user_city(actual_city(visits), home_city(visits, min_days, run_date, include_open_stay))
-    rows = full(base, travel(visits), ["user_id"])
+    hot = busy_users(visits)
+    home = home_city(visits, min_days, run_date, include_open_stay, hot)
+    rows = full(user_city(actual_city(visits), home), travel(visits, hot), ["user_id"])
     return rows.select(
         "user_id",
         "act_city",

@@ -77,8 +77,12 @@ def test_previous_value_equals_lag_for_a_hot_key(spark, rows):
     ]
     df = spark.createDataFrame(data, "k int, ts timestamp_ntz, id int, v string")
     expected = df.withColumn("prev_v", F.lag("v").over(Window.partitionBy("k").orderBy("ts", "id")))
-    got = op.previous_value(df, "k", "ts", ["id"], ["v"])
-    assert rows(got, "id", "prev_v") == rows(expected, "id", "prev_v")
+    assert op.hot_keys(df, "k") is None
+    hot = op.hot_keys(df, "k", 1000)
+    assert rows(hot) == [(0,)]
+    for found in (None, hot):
+        got = op.previous_value(df, "k", "ts", ["id"], ["v"], found)
+        assert rows(got, "id", "prev_v") == rows(expected, "id", "prev_v")
 
 
 def test_change_points(table, rows):

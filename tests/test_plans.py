@@ -248,7 +248,10 @@ def test_home_city_and_travel(table, rows):
     data += [(5, ts(1), "message", "A"), (5, ts(2), "message", "B"), (5, ts(31), "message", "A"), (5, ts(31, 1), "message", "A")]
     df = visits(table, data)
     # 26 days are too short; user 4 never moves; user 5 stayed longest in B.
-    assert rows(ge.home_city(df)) == [(2, "A"), (3, "A"), (5, "B")]
+    assert ge.busy_users(df) is None
+    every = df.select("user_id").distinct()
+    for hot in (None, every):
+        assert rows(ge.home_city(df, hot=hot)) == [(2, "A"), (3, "A"), (5, "B")]
     assert rows(ge.home_city(df, 27, "2024-03-15", include_open_stay=True)) == [(1, "B"), (2, "B"), (3, "B"), (4, "A"), (5, "A")]
     assert rows(ge.travel(df)) == [(1, 1, ["B"]), (2, 1, ["B"]), (3, 1, ["B"]), (5, 2, ["B", "A"])]
     mart = {r["user_id"]: r for r in ge.user_geo(df, zones={"A": "Australia/Perth"}).collect()}
