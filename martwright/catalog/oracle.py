@@ -502,9 +502,7 @@ for _thing, _value in [("product", "product_name"), ("category", "category")]:
         "order_products",
         f"""select {_pk('user')} as user_id, {_pk(_thing)} as {_thing}_id, max({_value}) as {_thing}_name,
             count(distinct order_id) as order_cnt
-        from order_products group by user_id, {_IDS[_thing][0]}""".replace(
-            "group by user_id", "group by order_products.user_id"
-        ).replace(", product_id\"", ", order_products.product_id"),
+        from order_products group by order_products.user_id, order_products.{_IDS[_thing][0]}""",
     )
 
 # Currency
@@ -539,6 +537,72 @@ ORACLE["stg_transactions"] = _with(
     "transactions", "select * replace (cast(operation_id as varchar) as operation_id) from transactions"
 )
 
+# Files, write modes and streams
+
+ORACLE["order_log_csv"] = _with(
+    "user_order_log", "select * replace (cast(payment_amount as double) as payment_amount) from user_order_log"
+)
+ORACLE["geo_csv"] = _with("cities", "select * from cities")
+ORACLE["landed_deliveries"] = _with(
+    "deliveries_stg",
+    "select * replace (cast(sum as double) as sum, cast(tip_sum as double) as tip_sum) from deliveries_stg",
+)
+ORACLE["streamed_transactions"] = ORACLE["stg_transactions"]
+ORACLE["order_status_upsert"] = _with(
+    "orders_src status_log",
+    """select order_id, coalesce(s.status_id, 0) as status_id, s.dttm
+    from (select distinct order_id from orders_src union select order_id from status_log) o
+    left join (select *, row_number() over (partition by order_id order by dttm desc, n desc, p desc, status_id desc) as k
+        from status_log) s using (order_id) where coalesce(k, 1) = 1""",
+)
+ORACLE["item_counter_upsert"] = _with(
+    "orderitems", "select product_id, sum(quantity) as pieces from orderitems group by product_id"
+)
+ORACLE["new_city_insert"] = _with(
+    "known_cities user_order_log",
+    "select * from known_cities union select city_id, city_name from user_order_log",
+)
+ORACLE["newer_transactions"] = _with(
+    "transactions",
+    """select operation_id, transaction_dt from transactions
+    where cast(transaction_dt as date) > (select max(cast(transaction_dt as date)) from transactions
+        where transaction_dt < timestamp '2000-01-01')""",
+)
+ORACLE["repeat_customers"] = _with(
+    "user_order_log", "select customer_id from user_order_log group by customer_id having count(id) > 1"
+)
+ORACLE["stream_promo_triggers"] = _promo("select restaurant_id, adv_campaign_id, client_id from triggers")
+ORACLE["stream_vault_tables"] = _with(
+    "order_products",
+    " union all ".join(
+        f"select '{name}' as table_name, count(distinct ({columns})) as row_count from order_products"
+        for name, columns in [
+            ("h_restaurant", "restaurant_id"),
+            ("h_user", "user_id"),
+            ("h_product", "product_id"),
+            ("h_category", "category"),
+            ("h_order", "order_id"),
+            ("l_order_user", "order_id, user_id"),
+            ("l_product_category", "product_id, category"),
+            ("l_product_restaurant", "product_id, restaurant_id"),
+            ("l_order_product", "order_id, product_id"),
+            ("s_user_names", "user_id, user_name"),
+            ("s_order_cost", "order_id, cost"),
+            ("s_order_status", "order_id, status"),
+            ("s_restaurant_names", "restaurant_id, restaurant_name"),
+            ("s_product_names", "product_id, product_name"),
+        ]
+    ),
+)
+ORACLE["stream_counters"] = _with(
+    "order_products",
+    " union all ".join(
+        f"""select {_pk('user')} as user_id, {_pk(thing)} as thing_id, max({name}) as name, count(distinct order_id) as order_cnt
+        from order_products group by order_products.user_id, order_products.{_IDS[thing][0]}"""
+        for thing, name in [("product", "product_name"), ("category", "category")]
+    ),
+)
+
 # Quality
 
 
@@ -586,7 +650,7 @@ ORACLE["quality_violations"] = _with(
                 "order_log",
                 "user_order_log",
                 ["status"],
-                {"refund": "status <> ''refunded''".replace("''", "'")},
+                {"refund": "status <> 'refunded'"},
                 ["date_time", "city_id", "customer_id", "item_id", "quantity", "payment_amount", "status"],
             ),
         ]

@@ -12,7 +12,17 @@ from pyspark.sql import types as T
 
 from martwright.catalog.adapters import Inputs
 from martwright.functions import hash_key
-from martwright.operators import exclude, profile, quality_report
+from martwright.operators import (
+    empty_like,
+    exclude,
+    having,
+    insert_new,
+    newer_than,
+    profile,
+    quality_report,
+    upsert,
+    upsert_add,
+)
 from martwright.plans import couriers as co
 from martwright.plans import currency as cu
 from martwright.plans import geo as ge
@@ -25,13 +35,21 @@ from martwright.plans import vault as va
 from martwright.session import materialize, shared_dir
 from martwright.sources import (
     append,
+    append_batch,
     copy_partitions,
     full_refresh,
+    read_batches,
     read_csv_typed,
     read_events,
+    read_geo_csv,
+    read_landed_json,
+    read_order_log_csv,
     replace_period,
+    stream_new_files,
     write_partitioned,
 )
+from martwright.streaming import load_counters, load_vault, promotion_triggers, run_stream, send_triggers
+from martwright.streaming.orders import category_counters, product_counters, vault_hub, vault_link, vault_satellite
 
 # Parameters of the runs.
 SINCE = "2000-01-01"
@@ -601,6 +619,145 @@ def stg_transactions(t: Inputs) -> DataFrame:
     return t.spark.read.parquet(table)
 
 
+# Files and write modes
+
+
+@query
+def order_log_csv(t: Inputs) -> DataFrame:
+    """Increments before and after the status column was added."""
+    folder, log = fresh_folder(t.spark, "increments"), t.user_order_log
+    log.where("status is null").drop("status").write.option("header", True).csv(f"{folder}/old")
+    log.where("status is not null").write.option("header", True).csv(f"{folder}/new")
+    return read_order_log_csv(t.spark, f"{folder}/old").unionByName(read_order_log_csv(t.spark, f"{folder}/new"))
+
+
+@query
+def geo_csv(t: Inputs) -> DataFrame:
+    folder = fresh_folder(t.spark, "cities")
+    comma = [F.regexp_replace(F.col(c).cast("string"), "[.]", ",").alias(c) for c in ("lat", "lng")]
+    t.cities.select("id", "city", *comma).write.option("header", True).option("sep", ";").csv(folder)
+    return read_geo_csv(t.spark, folder)
+
+
+@query
+def landed_deliveries(t: Inputs) -> DataFrame:
+    """Deliveries landed as JSON lines."""
+    folder = fresh_folder(t.spark, "landed")
+    t.deliveries_stg.write.json(folder)
+    schema = T.StructType([T.StructField("order_id", T.StringType()), *co.DELIVERY_FIELDS.fields])
+    return read_landed_json(t.spark, folder, schema)
+
+
+@query
+def streamed_transactions(t: Inputs) -> DataFrame:
+    """New files only: the second run of the stream reads what came after the first."""
+    landed_in, out, state = (fresh_folder(t.spark, n) for n in ("landed", "streamed", "state"))
+    rows = t.transactions
+
+    def load() -> None:
+        stream = stream_new_files(t.spark, landed_in, TRANSACTION_FILE)
+        run_stream(stream, lambda df, n: append_batch(df, out, n), state).awaitTermination()
+
+    for condition in ("status = 'done'", "status <> 'done'"):
+        rows.where(condition).write.mode("append").csv(landed_in)
+        load()
+    return read_batches(t.spark, out).drop("batch_id")
+
+
+@query
+def order_status_upsert(t: Inputs) -> DataFrame:
+    """Orders with the log's statuses written over them, the latest row of an order winning."""
+    target = t.orders_src.select("order_id", F.col("status").alias("status_id"), F.col("order_ts").alias("dttm"))
+    target = target.dropDuplicates(["order_id"]).select("order_id", F.lit(0).alias("status_id"), F.lit(None).cast("timestamp_ntz").alias("dttm"))
+    order = [F.col(c).desc() for c in ("dttm", "n", "p", "status_id")]
+    return upsert(target, t.status_log, ["order_id"], order).select("order_id", "status_id", "dttm")
+
+
+@query
+def item_counter_upsert(t: Inputs) -> DataFrame:
+    """Pieces per item added up over two loads."""
+    sold = t.orderitems.groupBy("product_id", (F.col("quantity") > 25).alias("large")).agg(F.sum("quantity").alias("pieces"))
+    first, second = (sold.where(c).select("product_id", "pieces") for c in ("not large", "large"))
+    return upsert_add(upsert_add(empty_like(first), first, ["product_id"], ["pieces"]), second, ["product_id"], ["pieces"])
+
+
+@query
+def new_city_insert(t: Inputs) -> DataFrame:
+    """The city dimension after the log's unknown cities were added."""
+    known = t.known_cities
+    return known.unionByName(insert_new(known, t.user_order_log.select("city_id", "city_name"), ["city_id"]))
+
+
+@query
+def newer_transactions(t: Inputs) -> DataFrame:
+    """Transactions after the last day with a turnover of a queued kind."""
+    loaded = t.transactions.where("transaction_dt < timestamp_ntz'2000-01-01 00:00:00'")
+    rows = newer_than(t.transactions, loaded, "transaction_dt")
+    return rows.select("operation_id", "transaction_dt")
+
+
+@query
+def repeat_customers(t: Inputs) -> DataFrame:
+    """Customers with more than one row in the order log."""
+    return having(t.user_order_log, ["customer_id"], F.count("id") > 1)
+
+
+# Streams
+
+
+@query
+def stream_promo_triggers(t: Inputs) -> DataFrame:
+    """Campaign messages as a stream, to feedback rows and outgoing messages."""
+    folder, out, state = (fresh_folder(t.spark, n) for n in ("campaigns", "triggers", "state"))
+    t.campaigns.select(F.to_json(F.struct("*")).alias("value")).write.text(folder)
+    messages = stream_new_files(t.spark, folder, T.StructType([T.StructField("value", T.StringType())]), "text")
+    sinks = send_triggers(
+        lambda df, n: append_batch(df, f"{out}/feedback", n), lambda df, n: append_batch(df, f"{out}/topic", n)
+    )
+    triggers = promotion_triggers(messages, t.subscribers, PROMO_NOW)
+    run_stream(triggers, sinks, state).awaitTermination()
+    return read_batches(t.spark, f"{out}/feedback").select(*pr.TRIGGER_KEY)
+
+
+def _streamed_vault(t: Inputs) -> str:
+    """Order messages streamed in bounded batches into the vault and the counters."""
+    folder, out, state = (fresh_folder(t.spark, n) for n in ("orders", "vault", "state"))
+    t.messages.select(F.to_json(F.struct("object_id", "payload")).alias("value")).write.text(folder)
+    lines = stream_new_files(
+        t.spark, folder, T.StructType([T.StructField("value", T.StringType())]), "text", maxFilesPerTrigger="4"
+    )
+    messages = lines.select(F.from_json("value", va.MESSAGE).alias("m")).select("m.*")
+    messages = messages.withColumn("load_dt", F.col("payload.date"))
+    batch = load_vault(out, lambda df, n: append_batch(df, f"{out}/topic", n))
+    run_stream(messages, batch, f"{state}/vault").awaitTermination()
+    topic = f"{out}/topic"
+    enriched = t.spark.readStream.schema("object_id string, object_type string, payload string").option("basePath", topic)
+    run_stream(enriched.parquet(topic), load_counters(out), f"{state}/counters").awaitTermination()
+    return out
+
+
+@query
+def stream_vault_tables(t: Inputs) -> DataFrame:
+    """Rows per vault table after the stream."""
+    out = _streamed_vault(t)
+    kinds = [*((n, vault_hub) for n in va.HUBS), *((n, vault_link) for n in va.LINKS), *((n, vault_satellite) for n in va.SATELLITES)]
+    counts = [
+        read(t.spark, out, n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+        for n, read in kinds
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def stream_counters(t: Inputs) -> DataFrame:
+    """Orders per user and product, and per user and category, from the enriched messages."""
+    out = _streamed_vault(t)
+    shown = [
+        counters(t.spark, out).toDF("user_id", "thing_id", "name", "order_cnt") for counters in (product_counters, category_counters)
+    ]
+    return shown[0].unionByName(shown[1])
+
+
 # Quality
 
 

@@ -11,9 +11,15 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting; larger frames go unhinted to the shuffled, skew-splitting join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, otherwise: str | None = None) -> DataFrame:
+    """Hint a broadcast after counting; larger frames go to the shuffled, skew-splitting join.
+
+    ``otherwise`` is a join hint for a larger frame whose size Spark would
+    guess too low, such as exploded rows.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df.hint(otherwise) if otherwise else df
 
 
 def inner(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:

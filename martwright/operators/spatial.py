@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions import EARTH_RADIUS_KM
+from martwright.operators.joins import broadcast_if_small
 from martwright.session import materialize
 
 # Cells with more rows than this are split into pieces that are joined by separate tasks.
@@ -111,6 +112,8 @@ def grid_join(
         keys = [*cell, "__piece_a", "__piece_b"]
         placed = _pieces(placed, hot, cell, a.columns, "__piece_a", "__piece_b")
         reach = _pieces(reach, hot, cell, b.columns, "__piece_b", "__piece_a")
+    # Size estimates ignore that the rows were repeated per cell, hence the count.
+    reach = broadcast_if_small(reach, otherwise="merge")
     square = sum(_square(F.col(f"__a{i}") - F.col(f"__b{i}")) for i in "xyz")
     met = placed.join(reach, keys).withColumn("__square", square).where(F.col("__square") <= grid.square_chord)
     found = met.withColumn("distance_km", _chord_km(F.col("__square"))).where(F.col("distance_km") <= km)
