@@ -425,26 +425,23 @@ def geo_actual_city(t: Inputs) -> DataFrame:
 
 @query
 def geo_home_city(t: Inputs) -> DataFrame:
-    visits = _visits(t)
-    return ge.home_city(visits, MIN_DAYS, hot=ge.busy_users(visits))
+    return ge.home_city(_visits(t), MIN_DAYS)
 
 
 @query
 def geo_home_city_open(t: Inputs) -> DataFrame:
-    visits = _visits(t)
-    return ge.home_city(visits, MIN_DAYS, GEO_DAY, include_open_stay=True, hot=ge.busy_users(visits))
+    return ge.home_city(_visits(t), MIN_DAYS, GEO_DAY, include_open_stay=True)
 
 
 @query
 def geo_user_city(t: Inputs) -> DataFrame:
     visits = _visits(t)
-    return ge.user_city(ge.actual_city(visits), ge.home_city(visits, MIN_DAYS, hot=ge.busy_users(visits))).drop("message_ts")
+    return ge.user_city(ge.actual_city(visits), ge.home_city(visits, MIN_DAYS)).drop("message_ts")
 
 
 @query
 def geo_travel(t: Inputs) -> DataFrame:
-    visits = _visits(t)
-    return ge.travel(visits, ge.busy_users(visits))
+    return ge.travel(_visits(t))
 
 
 @query
@@ -472,6 +469,12 @@ def geo_friends(t: Inputs) -> DataFrame:
     return ge.recommend_friends(_located(t), 1.0, GEO_ZONES, processed=LOADED)
 
 
+@query
+def geo_friends_by_channel(t: Inputs) -> DataFrame:
+    """The same suggestions, met channel by channel."""
+    return ge.recommend_friends(_located(t), 1.0, GEO_ZONES, processed=LOADED, by_channel=True)
+
+
 # Promotions
 
 

@@ -12,6 +12,8 @@ from martwright.session import materialize
 
 # A key with more rows than this is not sorted by one task.
 HOT_KEY_ROWS = 1_000_000
+# Default of ``hot``: look for hot keys first. None says that there are none.
+CHECK = "check"
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame | None:
@@ -30,15 +32,18 @@ def previous_value(
     ts: str,
     tie: Sequence[str],
     values: Sequence[str],
-    hot: DataFrame | None = None,
+    hot: DataFrame | str | None = CHECK,
     every: str = "minute",
 ) -> DataFrame:
     """Add ``prev_<value>`` from the preceding row of the key, NULL for the first row.
 
-    Rows of a hot key (see ``hot_keys``) are cut into time slices that are
+    ``hot`` is the result of ``hot_keys``; by default it is looked up here.
+    Rows of a hot key are cut into time slices that are
     sorted by separate tasks; only the first row of a slice looks at the slice
     before it, and there is one such row per slice.
     """
+    if isinstance(hot, str):
+        hot = hot_keys(df, key)
     packed = F.struct(*values)
     named = [F.col(f"__prev.{v}").alias(f"prev_{v}") for v in values]
     if hot is None:
@@ -66,7 +71,7 @@ def change_points(
     ts: str,
     tie: Sequence[str] = (),
     keep_first: bool = False,
-    hot: DataFrame | None = None,
+    hot: DataFrame | str | None = CHECK,
 ) -> DataFrame:
     """Rows whose value differs from the row before; the first row of a key only if asked."""
     linked = previous_value(df, key, ts, tie, [value], hot)

@@ -22,6 +22,7 @@ from martwright.operators import (
     ordered_list,
     previous_value,
 )
+from martwright.operators.changes import CHECK
 from martwright.session import materialize
 
 DEFAULT_ZONE = "Australia/ACT"
@@ -96,13 +97,15 @@ def home_city(
     min_days: int = 27,
     run_date: str | date | None = None,
     include_open_stay: bool = False,
-    hot: DataFrame | None = None,
+    hot: DataFrame | str | None = CHECK,
 ) -> DataFrame:
     """City of the latest stay of at least ``min_days`` days.
 
     A stay is known once the user leaves it. ``include_open_stay`` also counts
-    the last stay, up to the run date. ``hot`` is the result of ``busy_users``.
+    the last stay, up to the run date. ``hot`` is the result of ``busy_users``,
+    which is asked when it is not given.
     """
+    hot = busy_users(visits) if isinstance(hot, str) else hot
     moves = _moves(visits, hot)
     linked = previous_value(moves, "user_id", "message_ts", ["message_id"], ["date"], hot)
     stayed = linked.where(F.datediff("date", "prev_date") >= min_days)
@@ -124,8 +127,9 @@ def user_city(actual: DataFrame, home: DataFrame) -> DataFrame:
     return full(actual, home, ["user_id"]).select("user_id", "act_city", "home_city", "message_ts")
 
 
-def travel(visits: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def travel(visits: DataFrame, hot: DataFrame | str | None = CHECK) -> DataFrame:
     """Number and list of city changes per user, in time order."""
+    hot = busy_users(visits) if isinstance(hot, str) else hot
     moved = _moves(visits, hot).where(F.col("prev_city").isNotNull())
     listed = ordered_list(moved, ["user_id"], "city", ["message_ts", "message_id"], "travel_array")
     return listed.withColumn("travel_count", F.size("travel_array")).select("user_id", "travel_count", "travel_array")
@@ -222,31 +226,48 @@ def share_member(pairs: DataFrame, membership: DataFrame) -> DataFrame:
     return pairs.join(common.select("user_left", "user_right").distinct(), ["user_left", "user_right"], "left_semi")
 
 
+def _channels_are_narrow(membership: DataFrame) -> bool:
+    """Whether meeting channel by channel makes fewer pairs than all members together."""
+    sizes = membership.groupBy("channel_id").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    together = membership.agg(F.approx_count_distinct("user_id").alias("people"))
+    by_channel = sizes.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0.0
+    return by_channel < together.first()["people"] ** 2
+
+
 def recommend_friends(
     located: DataFrame,
     km: float = 1.0,
     zones: Mapping[str, str] = CITY_ZONES,
     default_zone: str = DEFAULT_ZONE,
     processed: str | None = None,
+    by_channel: bool | None = None,
 ) -> DataFrame:
     """Pairs who were within ``km`` on one day, never wrote to each other and share a channel.
 
     Each pair comes once (lower id left) with zone and local time of its
-    closest meeting. Positions meet through grid cells; the closest meeting is
-    a minimum that is combined before the shuffle, so meetings of a pair never
-    pile up.
+    closest meeting. Positions meet through grid cells, and only those of
+    users with a channel. Where channels are narrow, positions also meet
+    channel by channel, so users without a common channel never form a pair;
+    else the pairs are checked afterwards. ``by_channel`` overrides the choice,
+    the result is the same. The closest meeting is a minimum that is combined
+    before the shuffle, so meetings of a pair do not pile up.
     """
     subscribed = located.where(F.col("event_type") == "subscription").select(
         F.col("event.user").alias("user_id"), F.col("event.subscription_channel").alias("channel_id")
     )
-    membership = subscribed.dropna().distinct()
-    # Only users with a channel can be suggested, so the others never reach the pair search.
-    members = membership.select("user_id").distinct()
-    spots = materialize(participants(located).join(members, "user_id", "left_semi"))
+    membership = materialize(subscribed.dropna().distinct())
+    if by_channel is None:
+        by_channel = _channels_are_narrow(membership)
+    same = ["date", "channel_id"] if by_channel else ["date"]
+    if by_channel:
+        spots = materialize(participants(located).join(membership, "user_id"))
+    else:
+        members = membership.select("user_id").distinct()
+        spots = materialize(participants(located).join(members, "user_id", "left_semi"))
     right = spots.select(
-        F.col("user_id").alias("user_right"), "date", F.col("lat").alias("lat_b"), F.col("lon").alias("lon_b")
+        F.col("user_id").alias("user_right"), *same, F.col("lat").alias("lat_b"), F.col("lon").alias("lon_b")
     )
-    met = grid_join(spots.withColumnRenamed("user_id", "user_left"), right, km, ["date"])
+    met = grid_join(spots.withColumnRenamed("user_id", "user_left"), right, km, same)
     met = met.where("user_left < user_right")
     # Distances are compared in millimetres so that rounding noise does not pick the meeting.
     closeness = F.struct(
@@ -264,9 +285,10 @@ def recommend_friends(
         F.least("event.message_from", "event.message_to").alias("user_left"),
         F.greatest("event.message_from", "event.message_to").alias("user_right"),
     ).distinct()
-    # The channel check reads the pairs twice; the pair search must run once.
-    strangers = materialize(exclude(pairs, wrote, ["user_left", "user_right"]))
-    friends = share_member(strangers, membership)
+    friends = exclude(pairs, wrote, ["user_left", "user_right"])
+    if not by_channel:
+        # The channel check reads the pairs twice; the pair search must run once.
+        friends = share_member(materialize(friends), membership)
     stamp = F.current_timestamp() if processed is None else F.lit(processed)
     return friends.select(
         "user_left",

@@ -80,7 +80,7 @@ def test_previous_value_equals_lag_for_a_hot_key(spark, rows):
     assert op.hot_keys(df, "k") is None
     hot = op.hot_keys(df, "k", 1000)
     assert rows(hot) == [(0,)]
-    for found in (None, hot):
+    for found in (None, hot, "check"):
         got = op.previous_value(df, "k", "ts", ["id"], ["v"], found)
         assert rows(got, "id", "prev_v") == rows(expected, "id", "prev_v")
 

@@ -302,7 +302,9 @@ def test_friends(spark, table, rows):
     )
     cities = table("id int, city string, lat double, lng double", [(1, "Perth", 0.0, 10.0), (2, "Sydney", 40.0, 10.0)])
     located = ge.assign_city(events, cities)
-    got = rows(ge.recommend_friends(located, processed="2024-02-01 00:00:00"), "user_left", "user_right", "zone_id", "local_time")
+    ways = [ge.recommend_friends(located, processed="2024-02-01 00:00:00", by_channel=way) for way in (None, False, True)]
+    got, *others = [rows(way, "user_left", "user_right", "zone_id", "local_time") for way in ways]
+    assert all(other == got for other in others)
     # 1-2 are 0.99 km apart; 2-3 0.995 km; 1-4 wrote to each other; 5 shares no channel; two shared channels give one row.
     assert [(r[0], r[1]) for r in got] == [(1, 2), (2, 3), (2, 4)]
     assert got[0] == (1, 2, 1, ts(2, 8))
