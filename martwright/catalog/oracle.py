@@ -406,7 +406,9 @@ ORACLE["geo_friends"] = _geo(
       and exists (select 1 from channels x join channels y using (subscription_channel)
                   where x.user_id = p.user_left and y.user_id = p.user_right)"""
 )
-ORACLE["geo_friends_by_channel"] = ORACLE["geo_friends"]
+ORACLE["geo_friends_by_channel"] = ORACLE["geo_friends"].replace(
+    "event_id % 10 as subscription_channel", "user_id % 40 + event_id % 2 as subscription_channel"
+)
 
 # Promotions
 

@@ -227,11 +227,11 @@ def share_member(pairs: DataFrame, membership: DataFrame) -> DataFrame:
 
 
 def _channels_are_narrow(membership: DataFrame) -> bool:
-    """Whether meeting channel by channel makes fewer pairs than all members together."""
+    """Whether meeting channel by channel pays: few channels per user, and each with few of the users."""
     sizes = membership.groupBy("channel_id").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    together = membership.agg(F.approx_count_distinct("user_id").alias("people"))
-    by_channel = sizes.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0.0
-    return by_channel < together.first()["people"] ** 2
+    total = sizes.agg(F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("n")).alias("pairs")).first()
+    people = membership.agg(F.approx_count_distinct("user_id")).first()[0]
+    return total["rows"] is not None and total["rows"] <= 2 * people and 8 * total["pairs"] <= people**2
 
 
 def recommend_friends(
