@@ -559,7 +559,7 @@ ORACLE["order_status_upsert"] = _with(
         from status_log) s using (order_id) where coalesce(k, 1) = 1""",
 )
 ORACLE["item_counter_upsert"] = _with(
-    "orderitems", "select product_id, sum(quantity) as pieces from orderitems group by product_id"
+    "orderitems", "select product_id, cast(sum(quantity) as bigint) as pieces from orderitems group by product_id"
 )
 ORACLE["new_city_insert"] = _with(
     "known_cities user_order_log",
