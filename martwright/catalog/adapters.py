@@ -1,7 +1,6 @@
 """Mart inputs as SQL over the benchmark tables; the text is valid in Spark and in ANSI engines.
 
-``{table}`` stands for a base table and ``{{name}}`` is never used; every
-adapter reads whole tables.
+``{table}`` stands for a base table; every adapter reads whole tables.
 """
 
 from __future__ import annotations

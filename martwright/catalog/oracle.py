@@ -149,10 +149,6 @@ _LOG = """(select * exclude (payment_amount, status, rn),
             order by id) as rn from user_order_log) where rn = 1)"""
 _SALES = f"""(select cast(strftime(date_time, '%Y%m%d') as int) as date_id, strftime(date_time, '%G-W%V') as week, item_id,
         customer_id, city_id, quantity, payment_amount, status from {_LOG})"""
-_RANKS = """(select week, dense_rank() over (order by week) as period_id
-    from (select distinct strftime(d, '%G-W%V') as week
-          from generate_series(timestamp '1995-01-01', timestamp '2001-12-31', interval 1 day) g(d)))"""
-
 ORACLE["uol_prepare"] = _with(
     "user_order_log", f"select * replace (cast(payment_amount as double) as payment_amount) from {_LOG}"
 )
@@ -200,10 +196,10 @@ def _retention(strict: bool) -> str:
     , j as (select week, item_id, n.people as a1, r.people as a2, b.people as a3, n.money as m1, r.money as m2, b.rows as k
         from n {join} r using (week, item_id) {join} b using (week, item_id))
     select coalesce(a1, 0) as new_customers_count, coalesce(a2, 0) as returning_customers_count,
-        coalesce(a3, 0) as refunded_customer_count, week as period_name, period_id, item_id,
+        coalesce(a3, 0) as refunded_customer_count, week as period_name, dense_rank() over (order by week) as period_id, item_id,
         cast(coalesce(m1, 0) as double) as new_customers_revenue, cast(coalesce(m2, 0) as double) as returning_customers_revenue,
         coalesce(k, 0) as customers_refunded
-    from j join {_RANKS} using (week)"""
+    from j"""
 
 
 ORACLE["customer_retention"] = _with("user_order_log", _retention(False))

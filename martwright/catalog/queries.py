@@ -57,7 +57,6 @@ TODAY = "2002-01-01"
 SALES_DAY = "2000-03-15"
 LEDGER_DAY = "2000-06-02"
 PROMO_NOW = "2024-01-15 00:00:00"
-PROMO_NOW_MS = 1705276800000
 GEO_DAY, GEO_DEPTH = "2024-01-30", 30
 COPY_DAY, COPY_DEPTH = "2024-01-20", 9
 MIN_DAYS = 5

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martwright.operators.joins import lookup
 from martwright.session import materialize
 
 # monotonically_increasing_id keeps the partition number above this bit.
@@ -124,7 +125,7 @@ def ntile_scores(
 def period_rank(df: DataFrame, col: str, name: str) -> DataFrame:
     """Dense rank of a period column, ranked over the distinct periods and joined back."""
     periods = number_rows(df.select(col).where(F.col(col).isNotNull()).distinct(), [F.col(col)], name)
-    return df.join(periods.withColumn(name, F.col(name).cast("int")), col, "left")
+    return lookup(df, periods.withColumn(name, F.col(name).cast("int")), [col], [name])
 
 
 def top(df: DataFrame, order: Sequence[Column | str], n: int | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martwright.functions import default, iso_week, signed_amount
 from martwright.operators import lookup, new_members, on_date, period_rank, promote_staging
+from martwright.session import materialize
 
 LOG_KEY = ["date_time", "city_id", "customer_id", "item_id", "quantity", "payment_amount", "status"]
 
@@ -103,10 +104,9 @@ def customer_retention(sales: DataFrame, days: DataFrame, strict: bool = False)
         result = result.where(
             "new_customers_count > 0 and returning_customers_count > 0 and refunded_customer_count > 0"
         )
-    # Weeks come from the calendar, so ranking them does not touch the sales.
-    weeks = days.select("week_of_year_iso").distinct()
-    ranks = period_rank(weeks, "week_of_year_iso", "period_id")
-    return lookup(result, ranks, ["week_of_year_iso"], ["period_id"]).select(
+    # The result is read twice, for its weeks and for its rows.
+    ranked = period_rank(materialize(result), "week_of_year_iso", "period_id")
+    return ranked.select(
         "new_customers_count",
         "returning_customers_count",
         "refunded_customer_count",
