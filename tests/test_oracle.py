@@ -8,6 +8,8 @@ import pytest
 import __spark_entry__ as entry
 from check import rows_of
 from martwright.catalog.adapters import BASE_TABLES
+from martwright.catalog.oracle import ORACLE
+from martwright.catalog.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
@@ -22,13 +24,14 @@ def duck():
 
 
 def test_every_query_has_reference_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_reference_sql(spark, duck, name):
-    df = entry.queries()[name](spark, FOLDER)
-    relation = duck.sql(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    relation = duck.sql(ORACLE[name])
     assert sorted(df.columns) == sorted(relation.columns)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(relation.columns, relation.fetchall())
 
