@@ -5,10 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import chat, interleave, raking, wumanber
+from martwright.llm import chat, interleave, minhash, raking, skipchain, thresholds, toxicity, wumanber
 from martwright.llm.common import table
 
 
+def op1_toxic_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's toxicity score and offending spans."""
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
+def op2_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's component of near-duplicates."""
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def op3_controlled_cutoffs(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdicts of every document, with cutoffs certified per language."""
+    return thresholds.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's shard, place in it, size and checksum."""
     return interleave.interleave(table(spark, folder, "documents"))
@@ -27,6 +43,12 @@ def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.union(odd)))
 
 
+def op8_skip_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document."""
+    docs = table(spark, folder, "documents")
+    return skipchain.find(docs, skipchain.train(docs))
+
+
 def op9_wu_manber(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows that occur in each document."""
     return wumanber.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -40,8 +62,12 @@ def op10_raked_mixture(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_toxic_chain,
+        op2_circulant_minhash,
+        op3_controlled_cutoffs,
         op4_interleaved_shards,
         op7_chat_formatting,
+        op8_skip_chain,
         op9_wu_manber,
         op10_raked_mixture,
     )
