@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,3 +48,9 @@ def prune_with_bloom(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "1g")
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver collect garbage now, so that Spark deletes shuffle files of frames that have been landed."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -5,11 +5,12 @@ coordinates: sigma scatters the shingles once, and coordinate k is the minimum o
 pi over the scattered values shifted circularly by k. Bands of coordinates give
 buckets. Equal sets are one class from the start; classes meet in buckets.
 
-Pairs within a bucket are not listed. Each round takes the first few members of
-every bucket (hubs) and compares them with the members that are not yet in their
-component, on full shingle sets. A bucket is done when its members are in one
-component or all have been hubs, so no link between different components is
-missed, and thousands of copies cost one comparison each.
+Pairs within a bucket are not listed. Each round takes a few members of every
+bucket (hubs) and compares them with the members that are not yet in their
+component, on full shingle sets; then the hubs leave the bucket. Members of the
+smallest components are hubs first, so a bucket closes as soon as only its
+largest component is left. No link between different components is missed, and
+thousands of copies cost one comparison each.
 """
 
 from __future__ import annotations
@@ -24,11 +25,11 @@ from pyspark.sql import functions as F
 
 from martwright.llm.common import land, prune_with_bloom
 
-# With 32 bands of 4, a pair at similarity 0.8 meets in no bucket with probability 5e-8.
-BANDS, ROWS = 32, 4
+# With 40 bands of 6, a pair at similarity 0.8 meets in no bucket with probability 5e-6.
+BANDS, ROWS = 40, 6
 SHINGLE = 2
 PERCENT = 80
-HUBS = (1, 4, 16, 64)  # per bucket and round; the last number goes on
+HUBS = (1, 4, 16, 64, 256)  # per bucket and round; the last number goes on
 CACHE = 200_000  # words whose hashes a worker remembers
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -204,30 +205,31 @@ def _link(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     labels = spark.createDataFrame([], "node long, component long")
     rounds = 0
     while True:
-        placed = members.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
-        open_ = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-        placed = land(placed.join(open_, "bucket", "left_semi"))
+        named = members.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
+        sizes = named.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+        open_ = sizes.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+        placed = land(named.join(sizes.join(open_, "bucket"), ["bucket", "component"]))
         if placed.isEmpty():
             return labels
         count = HUBS[min(rounds, len(HUBS) - 1)]
         rounds += 1
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("size", "node"))
         hubs = land(
             placed.withColumn("rank", rank)
             .where(F.col("rank") <= count)
-            .select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("component_a"))
+            .select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_component"))
         )
         pairs = (
             placed.join(hubs, "bucket")
-            .where("a < node and component != component_a")
-            .where(f"100 * least(n, n_a) >= {percent} * greatest(n, n_a)")
-            .select("a", F.col("node").alias("b"))
+            .where("component != hub_component")
+            .where(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
+            .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
             .distinct()
         )
         links = land(_verified(land(pairs), sets, percent))
-        # Members up to the last hub have been compared with all others of the bucket.
-        done = hubs.groupBy("bucket").agg(F.max("a").alias("last"))
-        members = land(placed.join(done, "bucket").where("node > last").select("bucket", "node", "n"))
+        # Hubs have been compared with all others of their bucket.
+        gone = hubs.select("bucket", F.col("hub").alias("node"))
+        members = land(placed.select("bucket", "node", "n").join(gone, ["bucket", "node"], "left_anti"))
         if not links.isEmpty():
             labels = _merge(labels, links)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import chat, interleave, minhash, raking, skipchain, thresholds, toxicity, wumanber
+from martwright.llm import chat, interleave, line_join, minhash, prefix_doubling, raking, skipchain, thresholds, toxicity, wumanber
 from martwright.llm.common import table
 
 
@@ -30,6 +30,16 @@ def op4_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
     return interleave.interleave(table(spark, folder, "documents"))
 
 
+def op5_prefix_doubling(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each document without passages of smaller documents."""
+    return prefix_doubling.remove_repeats(table(spark, folder, "documents"))
+
+
+def op6_similar_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with words of each document, and those that no earlier similar line removes."""
+    return line_join.line_verdicts(table(spark, folder, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of all formatted conversations and one that is full of control strings, read back."""
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -66,6 +76,8 @@ QUERIES = {
         op2_circulant_minhash,
         op3_controlled_cutoffs,
         op4_interleaved_shards,
+        op5_prefix_doubling,
+        op6_similar_lines,
         op7_chat_formatting,
         op8_skip_chain,
         op9_wu_manber,

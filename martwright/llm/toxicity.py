@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"[^\W_]+")
 # Bound of the training sample: labelled documents of each class.
-SAMPLE = {1: 2500, 0: 5000}
+SAMPLE = {1: 2000, 0: 3000}
 FEATURES = 1 << 18
-MAX_LINES = 30_000  # of the sample that the chain is trained on; all with toxic tokens come first
+MAX_LINES = 20_000  # of the sample that the chain is trained on; all with toxic tokens come first
 CACHE = 200_000  # words whose potentials a worker remembers
 
 
@@ -100,7 +100,7 @@ def _labelled_lines(texts: list[str], toxic: list[int]) -> list[tuple[list[str],
     return marked[:MAX_LINES] + plain[:: max(1, len(plain) // room) if room else len(plain) + 1][:room]
 
 
-def fit(texts: list[str], toxic: list[int], epochs: int = 80, rate: float = 0.15, decay: float = 1e-5) -> Chain:
+def fit(texts: list[str], toxic: list[int], epochs: int = 60, rate: float = 0.15, decay: float = 1e-5) -> Chain:
     """Train on documents in memory (a bounded sample). Without both classes every score is the share of label 1."""
     if not texts or len(set(toxic)) < 2:
         share = (sum(toxic) + 0.5) / (len(toxic) + 1)
