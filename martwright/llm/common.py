@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +52,11 @@ def prune_with_bloom(spark: SparkSession) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let the driver collect garbage now, so that Spark deletes shuffle files of frames that have been landed."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let the driver collect garbage now, so that Spark deletes shuffle files of frames that have been landed.
+
+    Twice, as Python's own references must have reached the JVM before it can let go.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

@@ -2,8 +2,8 @@
 
 The words of a line are a set, ordered from rare to common. Two sets of the
 asked similarity must share a word in their prefixes, so lines meet on prefix
-words; lengths and the places of the shared word rule out most pairs, and the
-Jaccard similarity of the full sets decides. A line goes if an earlier line
+words; lengths, the places of the shared word and a 64-bit parity of the sets
+rule out most pairs, and the Jaccard similarity of the full sets decides. A line goes if an earlier line
 (smaller doc_id, then line number) is similar.
 
 Equal sets are one class from the start. The join is done in two steps, as only
@@ -28,10 +28,6 @@ BUCKETS = 1 << 16  # bounds the table of rarities that all tasks get: 65,536 num
 _SPACES = r"[ \t\r\x0B\f]+"
 
 
-def _words(line: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(F.lower(line), _SPACES), ""))
-
-
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, line_no and line of all lines of rows that have an id and a text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
@@ -39,22 +35,24 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def rarities(docs: DataFrame) -> Column:
-    """An array literal: for each of the BUCKETS hash buckets the logarithm of its words' count."""
+    """An array literal: for each of the BUCKETS hash buckets the logarithm of its words' count, as the upper bits of a key."""
     word = F.explode(F.split(F.lower(F.col("text").cast("string")), r"[ \t\r\n\x0B\f]+"))
-    counts = docs.select(word.alias("word")).groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket")).count()
+    counts = docs.select(word.alias("word")).groupBy(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("bucket")).count()
     level = F.least(F.lit(31), F.floor(F.log2(F.col("count") + 1)).cast("int"))
     # At most BUCKETS small numbers, however large the table; the optimizer folds them to one array.
     known = dict(counts.select("bucket", level.alias("level")).collect())
-    return F.split(F.lit(",".join(str(known.get(b, 0)) for b in range(BUCKETS))), ",").cast("array<int>")
+    return F.split(F.lit(",".join(str(known.get(b, 0) << 58) for b in range(BUCKETS))), ",").cast("array<long>")
 
 
 def _encoded(lines: DataFrame, levels: Column) -> DataFrame:
     """doc_id, line_no, the sorted keys of the line's words and their number, for lines with words."""
-    def key(word: Column) -> Column:
-        rarity = F.get(levels, F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int"))
-        return F.shiftleft(rarity.cast("long"), 58) + F.shiftrightunsigned(F.xxhash64(word), 6)
+    hashes = F.transform(F.split(F.lower(F.col("line")), _SPACES), lambda word: F.xxhash64(word))
+    distinct = F.array_distinct(F.array_remove(hashes, F.xxhash64(F.lit(""))))
+
+    def key(h: Column) -> Column:
+        return F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")) + F.shiftrightunsigned(h, 6)
 
-    keys = F.sort_array(F.transform(_words(F.col("line")), key))
+    keys = F.sort_array(F.transform(distinct, key))
     return lines.select("doc_id", "line_no", keys.alias("keys")).where(F.size("keys") > 0).withColumn("n", F.size("keys"))
 
 
@@ -64,7 +62,7 @@ def _overlap(n: Column | str, percent: int) -> str:
 
 
 def _prefixes(encoded: DataFrame, percent: int) -> DataFrame:
-    """One row per class of equal sets: place (doc_id, line_no) of the earliest, n and prefix."""
+    """One row per class of equal sets: place (doc_id, line_no) of the earliest, n, prefix and bits."""
     return (
         encoded.select(
             F.xxhash64("keys").alias("k1"),
@@ -72,24 +70,30 @@ def _prefixes(encoded: DataFrame, percent: int) -> DataFrame:
             F.struct("doc_id", "line_no").alias("place"),
             "n",
             F.expr(f"slice(keys, 1, cast(n - {_overlap('n', percent)} + 1 as int))").alias("prefix"),
+            # Bit b tells whether an odd number of words fall on b.
+            F.expr("aggregate(keys, 0L, (bits, k) -> bits ^ shiftleft(1L, cast(k & 63 as int)))").alias("bits"),
         )
         .groupBy("k1", "k2")
-        .agg(F.min("place").alias("place"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-        .select("place", "n", "prefix")
+        .agg(F.min("place").alias("place"), *[F.first(c).alias(c) for c in ("n", "prefix", "bits")])
+        .select("place", "n", "prefix", "bits")
     )
 
 
 def _possible(percent: int) -> str:
-    """Length, order and position filters for rows a and b that share a prefix word."""
+    """Length, order and position filters for rows a and b that share a prefix word.
+
+    The last filter compares bits: two sets differ in at least as many words as
+    their bits differ, so it drops no similar pair.
+    """
     needed = f"({percent} * (a_n + b_n) + {99 + percent}) div {100 + percent}"
     return (
         f"a_place < b_place and 100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n) "
-        f"and 1 + least(a_n - a_at, b_n - b_at) >= {needed} + 1"
+        f"and least(a_n - a_at, b_n - b_at) >= {needed} and bit_count(a_bits ^ b_bits) <= a_n + b_n - 2 * ({needed})"
     )
 
 
 def _named(rows: DataFrame, side: str) -> DataFrame:
-    return rows.select("word", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "n", "at")])
+    return rows.select("word", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "n", "at", "bits")])
 
 
 def _similar(docs: DataFrame, levels: Column, pairs: DataFrame, percent: int) -> DataFrame:
@@ -125,13 +129,13 @@ def kept_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     levels = rarities(docs)
     classes = land(_prefixes(_encoded(_lines(docs), levels), percent))
     release(spark)
-    index = classes.select("place", "n", F.posexplode("prefix").alias("at", "word"))
-    first = index.groupBy("word", "n").agg(F.min(F.struct("place", "at")).alias("x")).select("word", "n", "x.place", "x.at")
+    index = classes.select("place", "n", "bits", F.posexplode("prefix").alias("at", "word"))
+    first = index.groupBy("word", "n").agg(F.min(F.struct("place", "at", "bits")).alias("x")).select("word", "n", "x.place", "x.at", "x.bits")
     pairs = land(_named(index, "b").join(_named(first, "a"), "word").where(_possible(percent)).select("a_place", "b_place").distinct())
     release(spark)
     settled = land(_similar(docs, levels, pairs, percent))
     release(spark)
-    open_ = classes.join(settled, "place", "left_anti").select("place", "n", F.posexplode("prefix").alias("at", "word"))
+    open_ = classes.join(settled, "place", "left_anti").select("place", "n", "bits", F.posexplode("prefix").alias("at", "word"))
     rest = _named(open_, "b").join(_named(index, "a"), "word").where(_possible(percent)).select("a_place", "b_place").distinct()
     rest = land(rest.join(pairs, ["a_place", "b_place"], "left_anti"))
     release(spark)

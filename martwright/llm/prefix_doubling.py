@@ -36,7 +36,7 @@ from martwright.llm.common import land, release
 
 THRESHOLD = 50
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_LOW = np.uint64((1 << 24) - 1)
+_LOW = np.uint64((1 << 32) - 1)
 BATCH_BYTES = 8 << 20  # of text that a task groups at once
 
 
@@ -106,8 +106,7 @@ def anchors(raw: bytes, plan: Layout) -> tuple[np.ndarray, np.ndarray]:
         best = np.minimum(best[: len(best) - step], best[step:])
         have += step
     start = np.arange(n - plan.threshold + 1, dtype=np.int64)
-    # Positions are kept modulo 2^24; longer texts only need the offset from the start.
-    offset = ((best & _LOW).astype(np.int64) - start) & ((1 << 24) - 1)
+    offset = (best & _LOW).astype(np.int64) - start
     return start + offset % w, names(raw, plan.k)
 
 
@@ -140,7 +139,7 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def _texts(docs: DataFrame) -> DataFrame:
     """Rows with an id, their text and its hash (rows that repeat an id are told apart by it)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), text.alias("text"), F.hash(text).cast("long").alias("text_key"))
 
 
 def _shared_anchors(docs: DataFrame, plan: Layout) -> DataFrame:
