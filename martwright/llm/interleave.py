@@ -3,7 +3,8 @@
 Rows are put in a seeded random order within their source. The k-th of n rows
 stands at the fraction (k - 1 + u) / n, with one random shift u per source, and
 all rows sorted by fraction are cut into shards of equal row counts. Each shard
-then holds each source in its share, to within about one row.
+then holds each source in its share, to within about as many rows as there are
+sources.
 
 Neither rank is a one-task window: rows are dealt into hash buckets (rank within
 the source) and fraction buckets (place among all), a small table of bucket

@@ -125,7 +125,7 @@ class Graph:
             key = re.sub(r"[\W_]+", "", token).lower()
             if len(key) > 3:
                 # The next token of the same letters and digits: k copies make k - 1 edges.
-                if key in last_seen and last_seen[key] != i - 1:
+                if key in last_seen and self.chain[-1:] != [(last_seen[key], i)]:
                     self.skip.append((last_seen[key], i))
                 last_seen[key] = i
 

@@ -88,16 +88,22 @@ def measures(docs: DataFrame) -> DataFrame:
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(X <= k) for X from Binomial(n, p), summed exactly from k downwards."""
+    """P(X <= k) for X from Binomial(n, p), exact: the terms of the lighter side are summed from k outwards."""
     if k >= n:
         return 1.0
-    log_term = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
-    total, term, j = 0.0, math.exp(log_term), k
-    while j >= 0 and (term > total * 1e-17 or j > n * p):
+    below = k <= n * p
+    j = k if below else k + 1
+    term = math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(p) + (n - j) * math.log1p(-p))
+    total = 0.0
+    while 0 <= j <= n and term > total * 1e-17:
         total += term
-        term *= j * (1 - p) / ((n - j + 1) * p)
-        j -= 1
-    return min(1.0, total)
+        if below:
+            term *= j * (1 - p) / ((n - j + 1) * p)
+            j -= 1
+        else:
+            term *= (n - j) * p / ((j + 1) * (1 - p))
+            j += 1
+    return min(1.0, total) if below else max(0.0, 1.0 - total)
 
 
 def base_failed() -> "F.Column":
