@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martwright.functions import datetime_of, now_ms, previous_month_of
 
@@ -55,17 +56,24 @@ def with_status(orders: DataFrame, statuses: DataFrame, key: str, status: str =
 
 
 def high_water(df: DataFrame, column: str, name: str = "high_water", empty: str = "1900-01-01") -> DataFrame:
-    """One row with the largest date of a column, or the fallback when there is none."""
-    return df.agg(F.coalesce(F.max(F.col(column)).cast("date"), F.lit(empty).cast("date")).alias(name))
+    """One row with the largest value of a date or time column in its own type, or the fallback when there is none."""
+    kind = df.schema[column].dataType
+    return df.agg(F.coalesce(F.max(F.col(column)), F.lit(empty).cast(kind)).alias(name))
 
 
 def newer_than(df: DataFrame, target: DataFrame, column: str, target_column: str | None = None) -> DataFrame:
     """Rows above the target's high-water mark; an empty target lets everything through.
 
-    The mark is one value, read first, so the filter is a literal that reaches the scan.
+    The mark is one value, read first, so the filter is a literal that reaches
+    the scan. It keeps its clock time; a target that stores days only is compared
+    by day, so a loaded day is not loaded again.
     """
-    mark = high_water(target, target_column or column).first()[0]
-    return df.where(F.col(column) > F.lit(mark))
+    target_column = target_column or column
+    mark = high_water(target, target_column).first()[0]
+    kind = target.schema[target_column].dataType
+    if isinstance(kind, T.DateType) and not isinstance(df.schema[column].dataType, T.DateType):
+        return df.where(F.col(column) >= F.date_add(F.lit(mark), 1).cast(df.schema[column].dataType))
+    return df.where(F.col(column) > F.lit(mark).cast(kind))
 
 
 def having(df: DataFrame, keys: Sequence[str], condition: Column) -> DataFrame:

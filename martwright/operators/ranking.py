@@ -74,9 +74,21 @@ def number_rows(
     )
 
 
-def surrogate_id(df: DataFrame, order_cols: Sequence[str], name: str) -> DataFrame:
-    """Stable ids 1..n for distinct rows, ordered by all their key columns (NULL first)."""
-    return number_rows(df, [F.col(c).asc_nulls_first() for c in order_cols], name)
+def surrogate_id(df: DataFrame, order_cols: Sequence[str], name: str, existing: DataFrame | None = None) -> DataFrame:
+    """Ids 1..n for distinct rows, ordered by all their key columns (NULL first).
+
+    With an ``existing`` dimension (key columns and id), known members keep their
+    ids and only new ones are numbered, from the largest id on.
+    """
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    if existing is None:
+        return number_rows(df, order, name)
+    known = existing.select(*[F.col(c).alias(f"__{c}") for c in order_cols], F.col(name).cast("long"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in order_cols]
+    old = df.join(known, same).drop(*[f"__{c}" for c in order_cols])
+    last = known.agg(F.coalesce(F.max(name), F.lit(0))).first()[0]
+    new = number_rows(df.join(known, same, "left_anti"), order, name)
+    return old.unionByName(new.withColumn(name, F.col(name) + last))
 
 
 def ntile_score(

@@ -68,9 +68,9 @@ def timestamps(deliveries: DataFrame, day: str | date | None = None) -> DataFram
     )
 
 
-def with_ids(dim: DataFrame, key: str) -> DataFrame:
-    """A dimension with surrogate ids in key order."""
-    return surrogate_id(dim, [key], "id")
+def with_ids(dim: DataFrame, key: str, existing: DataFrame | None = None) -> DataFrame:
+    """A dimension with surrogate ids in key order; members of an ``existing`` dimension keep theirs."""
+    return surrogate_id(dim, [key], "id", existing)
 
 
 def deliveries(

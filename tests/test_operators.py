@@ -203,3 +203,17 @@ def test_top(table, rows):
     assert [r[0] for r in op.top(df, [F.desc("n")]).collect()] == [3, 2, 1]
     assert rows(op.distinct_rows(df.union(df), ["n"])) == [(1,), (2,), (3,)]
     assert rows(op.fill_zero(table("n int", [(None,)]), ["n"])) == [(0,)]
+
+
+def test_newer_than_keeps_clock_times(spark, rows):
+    df = spark.sql("select * from values (1, timestamp'2000-01-05 09:00'), (2, timestamp'2000-01-05 14:00'), (3, timestamp'2000-01-05 14:01'), (4, timestamp'2000-01-06') t(n, at)")
+    assert rows(op.newer_than(df, df.where("n = 2"), "at"), "n") == [(3,), (4,)]
+    days = spark.sql("select date'2000-01-05' as at")
+    assert rows(op.newer_than(df, days, "at"), "n") == [(4,)]
+
+
+def test_known_members_keep_their_ids(table, rows):
+    first = op.surrogate_id(table("k string", [("b",), (None,)]), ["k"], "id")
+    assert rows(first) == [("b", 2), (None, 1)]
+    again = op.surrogate_id(table("k string", [("b",), ("a",), (None,), ("c",)]), ["k"], "id", first)
+    assert rows(again) == [("a", 3), ("b", 2), ("c", 4), (None, 1)]

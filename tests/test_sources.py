@@ -128,3 +128,11 @@ def test_checkpoints_go_to_the_shared_folder(spark):
     folder = shared_dir(spark)
     assert folder == shared_dir(spark) and spark.sparkContext.getCheckpointDir() == folder
     assert materialize(spark.range(3)).count() == 3
+
+
+def test_stated_periods_without_rows_are_cleared(spark, tmp_path):
+    path = str(tmp_path / "periods")
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "n int, p string")
+    so.replace_period(df, path, ["p"])
+    so.replace_period(df.where("n = 1").withColumn("n", F.lit(9)), path, ["p"], [("a",), ("b",)])
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(3, "c"), (9, "a")]
