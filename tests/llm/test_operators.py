@@ -383,12 +383,13 @@ def test_cutoffs_reject_few_good_documents(spark):
 
 
 def test_binomial_tail_is_exact():
-    from fractions import Fraction
     from math import comb
 
-    for n, p in ((10, 0.3), (50, 0.01), (200, 0.05), (3000, 0.01)):
+    for n, p in ((10, 0.25), (50, 0.0625), (200, 0.03125), (1000, 0.0078125)):
+        top, whole = p.as_integer_ratio()
         for k in (0, 1, 5, n // 3, n - 1, n):
-            assert thresholds.binomial_tail(k, n, p) == pytest.approx(float(sum(comb(n, j) * Fraction(p) ** j * (1 - Fraction(p)) ** (n - j) for j in range(min(k, 300) + 1))), rel=1e-9)
+            exact = sum(comb(n, j) * top**j * (whole - top) ** (n - j) for j in range(k + 1)) / whole**n
+            assert thresholds.binomial_tail(k, n, p) == pytest.approx(exact, rel=1e-9)
 
 
 def test_pipeline_stages_keep_the_columns(spark, docs, none, tmp_path, monkeypatch):
