@@ -196,7 +196,10 @@ def ship_mart(t: Inputs) -> DataFrame:
 
 
 def _days(t: Inputs) -> DataFrame:
-    return re.calendar(t.spark, "1995-01-01", "2001-12-31")
+    """Calendar of all days between the first and the last of the order log."""
+    day = F.to_date("date_time")
+    first, last = t.user_order_log.agg(F.min(day), F.max(day)).first()
+    return re.calendar(t.spark, first or "2000-01-01", last or "2000-01-01")
 
 
 @query

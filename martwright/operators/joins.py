@@ -1,4 +1,4 @@
-"""Joins by name, and dimension lookups with a counted broadcast."""
+"""Joins by name, dimension lookups, and a measured broadcast."""
 
 from __future__ import annotations
 
@@ -6,18 +6,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side is broadcast by hint only when it was counted and has at most this many rows.
-BROADCAST_ROWS = 200_000
+# A side is broadcast by hint only when it was measured and takes at most this many bytes.
+BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, otherwise: str | None = None) -> DataFrame:
-    """Hint a broadcast after counting; larger frames go to the shuffled, skew-splitting join.
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes that the rows take as Spark holds them, from one aggregate with one row per task."""
+    width = F.lit(8)
+    for f in df.schema.fields:
+        width += 8
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width += F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            # Text is at least half as long as the numbers it shows.
+            width += 2 * F.coalesce(F.octet_length(F.to_json(f.name)), F.lit(0))
+    return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
 
-    ``otherwise`` is a join hint for a larger frame whose size Spark would
-    guess too low, such as exploded rows.
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, otherwise: str | None = None) -> DataFrame:
+    """Hint a broadcast after measuring; larger frames go to the shuffled, skew-splitting join.
+
+    Only for frames whose size Spark would guess wrongly, such as exploded rows;
+    ``otherwise`` is the join hint for them when they are larger.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if measured_bytes(df) <= max_bytes:
         return F.broadcast(df)
     return df.hint(otherwise) if otherwise else df
 
@@ -50,8 +64,8 @@ def exclude(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
 def lookup(
     df: DataFrame, dim: DataFrame, keys: Sequence[str], values: Sequence[str], how: str = "left"
 ) -> DataFrame:
-    """Fetch columns of a dimension by its unique keys, broadcasting it only when counted small."""
-    return df.join(broadcast_if_small(dim.select(*keys, *values)), list(keys), how)
+    """Fetch columns of a dimension by its unique keys; Spark broadcasts it if its bytes are few."""
+    return df.join(dim.select(*keys, *values), list(keys), how)
 
 
 def star(fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str], Sequence[str]]]) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martwright.operators.joins import lookup
 from martwright.session import materialize
@@ -107,33 +108,47 @@ def ntile_scores(
     nulls_first: bool = True,
     null_score: int | None = None,
 ) -> DataFrame:
-    """Several quantile scores of the same ids in one range shuffle.
+    """Several quantile scores of the same ids, in one range shuffle per type of measure.
 
-    ``measures`` maps score names to numeric columns. The rows are stacked by
-    measure, ranked within each measure and folded back to one row per id.
-    ``null_score`` replaces the score of missing measures, which still take
-    part in the ranking.
+    ``measures`` maps score names to columns. The rows are stacked by measure,
+    ranked within each measure and folded back to one row per id. Whole and
+    decimal numbers share one shuffle as long as a common type holds all their
+    digits; no measure is rounded. ``null_score`` replaces the score of missing
+    measures, which still take part in the ranking.
     """
-    stacked = df.select(
-        id_col,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("__measure"), value.cast("decimal(38,2)").alias("__value"))
-                    for name, value in measures.items()
-                ]
-            )
-        ),
-    )
     value = F.col("__value").asc_nulls_first() if nulls_first else F.col("__value").asc_nulls_last()
-    scored = _positions(stacked, [value, F.col(id_col).asc()], ["__measure"]).withColumn("__score", _bucket(n))
-    score = F.col("__score")
+    score = _bucket(n)
     if null_score is not None:
         score = F.when(F.col("__value").isNull(), null_score).otherwise(score)
-    picks = [F.max(F.when(F.col("__measure") == name, score)).alias(name) for name in measures]
+    scored = None
+    for kind, names in _common_types(df, measures).items():
+        entries = [F.struct(F.lit(m).alias("__measure"), measures[m].cast(kind).alias("__value")) for m in names]
+        stacked = df.select(id_col, F.inline(F.array(*entries)))
+        ranked = _positions(stacked, [value, F.col(id_col).asc()], ["__measure"]).select(id_col, "__measure", score.alias("__score"))
+        scored = ranked if scored is None else scored.unionByName(ranked)
+    picks = [F.max(F.when(F.col("__measure") == name, F.col("__score"))).alias(name) for name in measures]
     return scored.groupBy(id_col).agg(*picks)
 
 
+def _common_types(df: DataFrame, measures: Mapping[str, Column]) -> dict[str, list[str]]:
+    """Score names by the type their measures are ranked in; every cast keeps all digits."""
+    fields = df.select(*[value.alias(name) for name, value in measures.items()]).schema.fields
+    # Digits before and after the point of whole and decimal numbers.
+    whole = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+    digits = {}
+    for f in fields:
+        if isinstance(f.dataType, T.DecimalType):
+            digits[f.name] = (f.dataType.precision - f.dataType.scale, f.dataType.scale)
+        elif f.dataType.simpleString() in whole:
+            digits[f.name] = (whole[f.dataType.simpleString()], 0)
+    before, after = (max((d[i] for d in digits.values()), default=0) for i in (0, 1))
+    groups: dict[str, list[str]] = {}
+    for f in fields:
+        shared = f.name in digits and before + after <= 38
+        groups.setdefault(f"decimal({before + after},{after})" if shared else f.dataType.simpleString(), []).append(f.name)
+    return groups
+
+
 def period_rank(df: DataFrame, col: str, name: str) -> DataFrame:
     """Dense rank of a period column, ranked over the distinct periods and joined back."""
     periods = number_rows(df.select(col).where(F.col(col).isNotNull()).distinct(), [F.col(col)], name)

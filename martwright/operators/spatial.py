@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martwright.functions import EARTH_RADIUS_KM
 from martwright.operators.joins import broadcast_if_small
-from martwright.session import materialize
+from martwright.session import land, materialize
 
 # Cells with more rows than this are split into pieces that are joined by separate tasks.
 HOT_CELL_ROWS = 20_000
@@ -18,6 +18,9 @@ HOT_CELL_ROWS = 20_000
 _REACHED_FROM = 36
 # Up to this many points are compared with each row in one expression, without a join.
 INLINE_POINTS = 200
+# Radii at which the search for nearest points may begin, and the points a cell may then hold.
+RADII_KM = tuple(100.0 / 4**i for i in range(9))
+CELL_POINTS = 4
 
 
 class _Grid:
@@ -90,6 +93,12 @@ def grid_join(
     hash and repeated for the pieces of the other side, so no task gets more
     than about ``hot_rows`` rows of either side and no pair is lost.
     """
+    found = _pairs_within(a, b, km, same, a_at, b_at, hot_rows)
+    return found.select(*dict.fromkeys([*a.columns, *b.columns]), "distance_km")
+
+
+def _pairs_within(a, b, km, same, a_at, b_at, hot_rows=HOT_CELL_ROWS) -> DataFrame:
+    """``grid_join`` with the squared chord of each pair as ``__square``."""
     a, b = a.dropna(subset=list(a_at)), b.dropna(subset=list(b_at))
     grid = _Grid(km)
     lat, lon = F.col(a_at[0]), F.col(a_at[1])
@@ -112,12 +121,11 @@ def grid_join(
         keys = [*cell, "__piece_a", "__piece_b"]
         placed = _pieces(placed, hot, cell, a.columns, "__piece_a", "__piece_b")
         reach = _pieces(reach, hot, cell, b.columns, "__piece_b", "__piece_a")
-    # Size estimates ignore that the rows were repeated per cell, hence the count.
+    # Size estimates ignore that the rows were repeated per cell, hence the measure.
     reach = broadcast_if_small(reach, otherwise="merge")
     square = sum(_square(F.col(f"__a{i}") - F.col(f"__b{i}")) for i in "xyz")
     met = placed.join(reach, keys).withColumn("__square", square).where(F.col("__square") <= grid.square_chord)
-    found = met.withColumn("distance_km", _chord_km(F.col("__square"))).where(F.col("distance_km") <= km)
-    return found.select(*dict.fromkeys([*a.columns, *b.columns]), "distance_km")
+    return met.withColumn("distance_km", _chord_km(F.col("__square"))).where(F.col("distance_km") <= km)
 
 
 def _with_vector(df: DataFrame, at: tuple[str, str], name: str) -> DataFrame:
@@ -163,33 +171,28 @@ def nearest(
     at: tuple[str, str] = ("lat", "lon"),
     points_at: tuple[str, str] = ("lat", "lon"),
     inline_points: int = INLINE_POINTS,
-    first_km: float = 100.0,
 ) -> DataFrame:
     """Add the attributes of the nearest point and ``distance_km``; equal distances go to the lower id.
 
     A counted small set of points becomes one expression per row: no join, no
     shuffle. A larger set is searched by growing grid joins over the distinct
-    positions. Rows without a position get NULL.
+    positions. Both ways compare the squared chord of unit vectors that Spark
+    has made with the same functions. Rows without a position (NULL or NaN) get NULL.
     """
     kept = [c for c in dict.fromkeys([id_col, *attrs]) if c not in df.columns]
     located = points.select(*dict.fromkeys([id_col, *attrs, *points_at])).dropna(subset=list(points_at))
-    few = located.orderBy(id_col).limit(inline_points + 1).collect()
+    few = _with_vector(located, points_at, "__").orderBy(id_col).limit(inline_points + 1).collect()
     if 0 < len(few) <= inline_points:
-        return _nearest_inline(df, located, few, kept, at, points_at)
-    return _nearest_grid(df, located, id_col, kept, at, points_at, first_km)
+        return _nearest_inline(df, located, few, kept, at)
+    return _nearest_grid(df, located, id_col, kept, at, points_at)
 
 
-def _nearest_inline(df, points, few, kept, at, points_at) -> DataFrame:
+def _nearest_inline(df, points, few, kept, at) -> DataFrame:
     """Compare squared chords between unit vectors, which grow with the great-circle distance."""
-    placed = _with_vector(df, at, "__")
-    chords = []
-    for row in few:
-        p, q = math.radians(row[points_at[0]]), math.radians(row[points_at[1]])
-        dx = F.col("__x") - math.cos(p) * math.cos(q)
-        dy = F.col("__y") - math.cos(p) * math.sin(q)
-        dz = F.col("__z") - math.sin(p)
-        chords.append(dx * dx + dy * dy + dz * dz)
-    measured = placed.withColumn("__all", F.array(*chords)).withColumn("__least", F.array_min("__all"))
+    placed = _with_vector(df, at, "__v")
+    chords = [sum(_square(F.col(f"__v{i}") - F.lit(row[f"__{i}"])) for i in "xyz") for row in few]
+    somewhere = ~(F.isnan(at[0]) | F.isnan(at[1]))
+    measured = placed.withColumn("__all", F.when(somewhere, F.array(*chords))).withColumn("__least", F.array_min("__all"))
     # The first of equal distances has the lowest id because the points are in id order.
     found = measured.withColumn("__n", F.array_position("__all", F.col("__least")).cast("int") - 1)
     types = {f.name: f.dataType for f in points.schema.fields}
@@ -199,26 +202,46 @@ def _nearest_inline(df, points, few, kept, at, points_at) -> DataFrame:
     return found.select(*df.columns, *values, _chord_km(F.col("__least")).alias("distance_km"))
 
 
-def _nearest_grid(df, points, id_col, kept, at, points_at, first_km) -> DataFrame:
-    """Search the distinct positions in growing radii; a hit within the radius is exact."""
-    spots = materialize(
-        df.select(F.col(at[0]).alias("__lat"), F.col(at[1]).alias("__lon")).dropna().distinct()
-    )
+def _first_radius(targets: DataFrame, at: tuple[str, str]) -> float:
+    """The largest of the search radii at which no grid cell holds more than CELL_POINTS points."""
+    lat, lon = F.col(at[0]), F.col(at[1])
+    cells = []
+    for km in RADII_KM:
+        grid = _Grid(km)
+        band = grid.band(lat)
+        cells.append(F.struct(F.lit(km).alias("km"), band.alias("band"), grid.own_cell(lon, grid.cells_in(band)).alias("cell")))
+    counts = targets.select(F.inline(F.array(*cells))).groupBy("km", "band", "cell").count()
+    # One row per radius.
+    crowd = {r["km"]: r["most"] for r in counts.groupBy("km").agg(F.max("count").alias("most")).collect()}
+    return max((km for km in RADII_KM if crowd.get(km, 0) <= CELL_POINTS), default=min(RADII_KM))
+
+
+def _nearest_grid(df, points, id_col, kept, at, points_at) -> DataFrame:
+    """Search the distinct positions in growing radii; a hit within the radius is exact.
+
+    The first radius follows the densest place of the points, and only positions
+    without a hit go on, so a position meets few points however dense they are.
+    """
+    spots = land(df.select(F.col(at[0]).alias("__lat"), F.col(at[1]).alias("__lon")).dropna().distinct())
+    named = [f"__p_{c}" for c in dict.fromkeys([id_col, *kept])]
     targets = points.select(
         *[F.col(c).alias(f"__p_{c}") for c in dict.fromkeys([id_col, *kept])],
         F.col(points_at[0]).alias("__plat"),
         F.col(points_at[1]).alias("__plon"),
     )
-    order = F.struct("distance_km", f"__p_{id_col}", *[f"__p_{c}" for c in kept if c != id_col])
-    found, radius, half_way = None, first_km, math.pi * EARTH_RADIUS_KM
+    # Of points at one place only the lowest id can win.
+    best = F.min(F.struct(*named)).alias("__best")
+    targets = land(targets.groupBy("__plat", "__plon").agg(best).select("__plat", "__plon", "__best.*"))
+    order = F.struct("__square", *named, "distance_km")
+    found, radius, half_way = None, _first_radius(targets, ("__plat", "__plon")), math.pi * EARTH_RADIUS_KM
     while True:
         radius = min(radius, half_way)
-        pairs = grid_join(spots, targets, radius, (), ("__lat", "__lon"), ("__plat", "__plon"))
-        hits = materialize(pairs.groupBy("__lat", "__lon").agg(F.min(order).alias("__hit")))
+        pairs = _pairs_within(spots, targets, radius, (), ("__lat", "__lon"), ("__plat", "__plon"))
+        hits = land(pairs.groupBy("__lat", "__lon").agg(F.min(order).alias("__hit")))
         found = hits if found is None else found.unionByName(hits)
         if radius >= half_way:
             break
-        spots = materialize(spots.join(hits, ["__lat", "__lon"], "left_anti"))
+        spots = land(spots.join(hits, ["__lat", "__lon"], "left_anti"))
         if spots.isEmpty():
             break
         radius *= 4

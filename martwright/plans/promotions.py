@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright.functions import now_ms
-from martwright.operators import active_at, broadcast_if_small, first_by
+from martwright.operators import active_at, first_by
 
 # Fields of a campaign message.
 CAMPAIGN_FIELDS = T.StructType(
@@ -30,15 +30,19 @@ TRIGGER_COLUMNS = [*CAMPAIGN_COLUMNS, "client_id", "trigger_datetime_created"]
 
 
 def decode(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Campaign columns of readable messages, and the raw text of those that are not."""
-    parsed = messages.select(F.col("value").cast("string").alias("value")).withColumn(
+    """Campaign columns of readable messages, and the raw text of those that are not.
+
+    A ``timestamp`` of the messages (their arrival) is kept in both.
+    """
+    arrival = [c for c in messages.columns if c == "timestamp"]
+    parsed = messages.select(F.col("value").cast("string").alias("value"), *arrival).withColumn(
         "event", F.from_json("value", CAMPAIGN_FIELDS)
     )
     readable = F.col("event").isNotNull() & F.col("event.restaurant_id").isNotNull() & F.col(
         "event.adv_campaign_id"
     ).isNotNull()
-    good = parsed.where(readable).select(*[F.col(f"event.{c}").alias(c) for c in CAMPAIGN_COLUMNS])
-    return good, parsed.where(~readable).select("value")
+    good = parsed.where(readable).select(*[F.col(f"event.{c}").alias(c) for c in CAMPAIGN_COLUMNS], *arrival)
+    return good, parsed.where(~readable).select("value", *arrival)
 
 
 def active_campaigns(campaigns: DataFrame, now: str | datetime | None = None) -> DataFrame:
@@ -57,7 +61,7 @@ def campaign_triggers(
     order = [F.col(c).asc_nulls_last() for c in ["datetime_created", *CAMPAIGN_COLUMNS[2:-1]]]
     first = first_by(campaigns, ["restaurant_id", "adv_campaign_id"], order)
     clients = subscribers.select("restaurant_id", "client_id").distinct()
-    joined = clients.join(broadcast_if_small(first), "restaurant_id")
+    joined = clients.join(first, "restaurant_id")
     return joined.withColumn("trigger_datetime_created", now_ms(now)).select(*TRIGGER_COLUMNS)
 
 
@@ -73,7 +77,3 @@ def feedback_rows(triggers: DataFrame) -> DataFrame:
     """Triggers with an empty feedback column, for the feedback table."""
     return triggers.select(*TRIGGER_COLUMNS, F.lit(None).cast("string").alias("feedback"))
 
-
-def created_at(column: str = "datetime_created") -> Column:
-    """Event time of a campaign message."""
-    return F.timestamp_millis(F.col(column))

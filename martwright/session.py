@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +44,13 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def land(df: DataFrame) -> DataFrame:
+    """Write ``df`` as parquet to the shared folder and read it back: lineage is cut, columns can be pruned."""
+    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and go on from there, so a lost executor cannot change it."""
     shared_dir(df.sparkSession)

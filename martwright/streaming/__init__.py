@@ -2,7 +2,7 @@
 
 from martwright.streaming.jobs import dedupe_stream, enrich_stream, fan_out, run_stream
 from martwright.streaming.orders import load_counters, load_vault, vault_hub, vault_link, vault_satellite
-from martwright.streaming.promotions import promotion_triggers, send_triggers
+from martwright.streaming.promotions import promotion_triggers, send_triggers, unreadable_messages
 
 __all__ = [
     "dedupe_stream",
@@ -13,6 +13,7 @@ __all__ = [
     "promotion_triggers",
     "run_stream",
     "send_triggers",
+    "unreadable_messages",
     "vault_hub",
     "vault_link",
     "vault_satellite",

@@ -6,13 +6,13 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from martwright.functions import now_ms
 from martwright.plans.promotions import (
     TRIGGER_COLUMNS,
     TRIGGER_KEY,
     active_campaigns,
-    created_at,
     decode,
     feedback_rows,
     trigger_payload,
@@ -26,17 +26,26 @@ def promotion_triggers(
     """Stream of triggers: readable, active campaigns joined with clients, repeats dropped.
 
     Repeats are judged per (restaurant, campaign, client), so a client who
-    subscribes between two copies of a message still gets the trigger. State
-    older than the delay is removed.
+    subscribes between two copies of a message still gets the trigger. The
+    watermark follows the arrival of messages (``timestamp``, or the time of the
+    batch), so a campaign that was created long ago is not late. State older
+    than the delay is removed.
     """
+    if "timestamp" not in messages.columns:
+        messages = messages.withColumn("timestamp", F.current_timestamp())
     good, _ = decode(messages)
-    active = active_campaigns(good, now).withColumn("created", created_at())
+    active = active_campaigns(good, now)
     clients = subscribers.select("restaurant_id", "client_id").distinct()
     joined = enrich_stream(active, clients, ["restaurant_id"])
-    once = dedupe_stream(joined, TRIGGER_KEY, "created", delay)
+    once = dedupe_stream(joined, TRIGGER_KEY, "timestamp", delay)
     return once.withColumn("trigger_datetime_created", now_ms(now)).select(*TRIGGER_COLUMNS)
 
 
+def unreadable_messages(messages: DataFrame) -> DataFrame:
+    """Raw text of the messages that are no campaigns, for an output of their own."""
+    return decode(messages)[1]
+
+
 def send_triggers(
     feedback: Callable[[DataFrame, int], None], topic: Callable[[DataFrame, int], None]
 ) -> Sink:

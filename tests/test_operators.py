@@ -35,6 +35,19 @@ def test_scores_of_several_measures(spark, rows):
     assert rows(got, "id", "x", "y") == rows(expected)
 
 
+def test_scores_keep_all_digits_and_types(spark, rows):
+    df = spark.range(5).select(
+        "id",
+        ((4 - F.col("id")).cast("decimal(10,4)") / 1000).cast("decimal(12,6)").alias("small"),
+        (F.lit(1.0) - F.col("id") * 1e-7).alias("real"),
+        (F.lit(5) - F.col("id")).cast("int").alias("whole"),
+        F.date_sub(F.lit("2024-01-09").cast("date"), F.col("id").cast("int")).alias("day"),
+    )
+    measures = {f"s_{c}": F.col(c) for c in ("small", "real", "whole", "day")}
+    got = op.ntile_scores(df, "id", measures)
+    assert rows(got, *["id", *measures]) == [(i, *[5 - i] * 4) for i in range(5)]
+
+
 def test_number_rows_per_group_with_a_hot_group(spark, rows):
     df = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("g"))
     expected = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("id"))))
@@ -144,8 +157,17 @@ def test_broadcast_only_when_counted_small(spark):
     def hinted(df):
         return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
 
-    assert hinted(op.broadcast_if_small(spark.range(10), 10))
-    assert not hinted(op.broadcast_if_small(spark.range(11), 10))
+    assert hinted(op.broadcast_if_small(spark.range(10), 160))
+    assert not hinted(op.broadcast_if_small(spark.range(11), 160))
+    long_text = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert not hinted(op.broadcast_if_small(long_text, 9_000)) and hinted(op.broadcast_if_small(long_text, 11_000))
+
+
+def test_lookup_needs_no_count(spark):
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    before = len(jobs())
+    joined = op.lookup(spark.range(10), spark.range(5).withColumn("v", F.lit(1)), ["id"], ["v"])
+    assert len(jobs()) == before and "GlobalLimit" not in joined._jdf.queryExecution().toString()
 
 
 def test_filters(table, rows):

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from martwright.operators import grid_join, nearest
+from martwright.operators import grid_join, nearest, spatial
 
 
 def km(a, b):
@@ -76,11 +76,11 @@ def test_nearest_equals_brute_force(spark, inline):
         return (r.uniform(-90, 90), r.uniform(-180, 180))
 
     events, cities = points(7, 200, globe), points(8, 150, globe)
-    df = spark.createDataFrame([*events, (999, None, None)], "i int, lat double, lon double")
+    df = spark.createDataFrame([*events, (999, None, None), (998, math.nan, 1.0), (997, 1.0, math.nan)], "i int, lat double, lon double")
     places = spark.createDataFrame([(i, f"c{i}", *at) for i, *at in cities], "id int, city string, lat double, lon double")
-    found = nearest(df, places, "id", ["city"], inline_points=inline, first_km=50.0)
+    found = nearest(df, places, "id", ["city"], inline_points=inline)
     got = {r["i"]: (r["id"], r["city"], r["distance_km"]) for r in found.collect()}
-    assert got.pop(999) == (None, None, None)
+    assert [got.pop(i) for i in (997, 998, 999)] == [(None, None, None)] * 3
     for i, *at in events:
         best = min(cities, key=lambda c: km(at, c[1:]))
         assert got[i][:2] == (best[0], f"c{best[0]}")
@@ -94,6 +94,38 @@ def test_equal_distances_go_to_the_lower_id(spark, inline):
     assert nearest(df, places, "id", ["city"], inline_points=inline).first()["city"] == "a"
 
 
+def test_both_ways_agree_on_near_ties(spark):
+    rng = random.Random(3)
+    spots = [(i, round(rng.uniform(50, 51), 2), 10.0) for i in range(200)]
+    # Mirrored points: each position has two at nearly the same distance.
+    places = [(2 * i + s, f"p{2 * i + s}", 50 + i / 20, 10 + (0.1 if s else -0.1)) for i in range(20) for s in (0, 1)]
+    df = spark.createDataFrame(spots, "i int, lat double, lon double")
+    cities = spark.createDataFrame(places, "id int, city string, lat double, lon double")
+    one, two = (sorted(nearest(df, cities, "id", ["city"], inline_points=n).collect()) for n in (0, 100))
+    assert one == two and len(one) == 200
+
+
+def test_many_points_in_one_city_do_not_meet_all_positions(spark, monkeypatch):
+    spots, places = points(11, 4000, SPREADS["city"]), points(12, 1000, SPREADS["city"])
+    # Also one place far from all others, so that the search must go on.
+    spots.append((4000, 60.0, 20.0))
+    df = spark.createDataFrame(spots, "i int, lat double, lon double")
+    cities = spark.createDataFrame([(i, f"c{i}", *at) for i, *at in places], "id int, city string, lat double, lon double")
+    met, plain = [], spatial._pairs_within
+
+    def counted(*args, **options):
+        found = plain(*args, **options)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(spatial, "_pairs_within", counted)
+    got = {r["i"]: r["id"] for r in nearest(df, cities, "id", ["city"], inline_points=0).collect()}
+    # The far position meets each of the 1,000 points in the last round.
+    assert sum(met) < 0.05 * 4000 * 1000
+    for i, *at in spots[::40]:
+        assert got[i] == min(places, key=lambda c: km(at, c[1:]))[0]
+
+
 def test_nearest_without_points(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0)], "i int, lat double, lon double")
     places = spark.createDataFrame([], "id int, city string, lat double, lon double")

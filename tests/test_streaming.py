@@ -31,7 +31,7 @@ def drop(folder, name, lines):
     (folder / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
 
 
-def campaign(name, created=NOW, start=NOW - 5, end=NOW + 5, restaurant="r"):
+def campaign(name, created=NOW, start=NOW - 5, end=NOW + 5, restaurant="r", arrived=NOW):
     fields = {
         "restaurant_id": restaurant,
         "adv_campaign_id": name,
@@ -41,6 +41,7 @@ def campaign(name, created=NOW, start=NOW - 5, end=NOW + 5, restaurant="r"):
         "adv_campaign_datetime_start": start,
         "adv_campaign_datetime_end": end,
         "datetime_created": created,
+        "arrived": arrived,
     }
     return json.dumps(fields)
 
@@ -55,7 +56,9 @@ def promotions(spark, tmp_path, rows):
     )
 
     def run():
-        stream = promotion_triggers(stream_new_files(spark, str(folder), LINE, "text"), clients, "2024-01-15 00:00:00")
+        lines = stream_new_files(spark, str(folder), LINE, "text")
+        arrived = F.timestamp_millis(F.coalesce(F.get_json_object("value", "$.arrived").cast("long"), F.lit(NOW)))
+        stream = promotion_triggers(lines.withColumn("timestamp", arrived), clients, "2024-01-15 00:00:00")
         query = run_stream(stream, sent, str(tmp_path / "state"))
         query.awaitTermination()
         return rows(read_batches(spark, str(tmp_path / "feedback")), "adv_campaign_id", "client_id")
@@ -79,14 +82,24 @@ def test_state_is_removed_after_the_watermark(promotions):
     folder, run = promotions
     drop(folder, "1.txt", [campaign("a")])
     run()
-    drop(folder, "2.txt", [campaign("b", NOW + 600_000)])
+    drop(folder, "2.txt", [campaign("b", arrived=NOW + 600_000)])
     run()
-    drop(folder, "3.txt", [campaign("c", NOW + 600_000)])
+    drop(folder, "3.txt", [campaign("c", arrived=NOW + 600_000)])
     run()
-    drop(folder, "4.txt", [campaign("a", NOW + 600_000)])
+    drop(folder, "4.txt", [campaign("a", arrived=NOW + 600_000)])
     assert run().count(("a", 1)) == 2
 
 
+def test_campaigns_created_long_ago_are_not_late(promotions):
+    folder, run = promotions
+    drop(folder, "1.txt", [campaign("a")])
+    run()
+    drop(folder, "2.txt", [campaign("b", NOW - 3_600_000, arrived=NOW + 5_000), campaign("c", NOW - 7_200_000, arrived=NOW + 5_000)])
+    run()
+    drop(folder, "3.txt", [campaign("d", NOW - 9_000_000, arrived=NOW + 9_000)])
+    assert run() == [(name, client) for name in "abcd" for client in (1, 2)]
+
+
 def test_unreadable_messages_are_kept_apart(table, rows):
     good, bad = decode(table("value string", [(campaign("a"),), ("{broken",), ("{}",), (None,)]))
     assert rows(good, "adv_campaign_id") == [("a",)]
