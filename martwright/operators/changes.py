@@ -50,6 +50,7 @@ def previous_value(
         order = Window.partitionBy(key).orderBy(ts, *tie)
         return df.withColumn("__prev", F.lag(packed).over(order)).select(*df.columns, *named)
 
+    # The hot keys have been written, so their measure is one cheap pass.
     marks = broadcast_if_small(hot.select(key).withColumn("__hot", F.lit(True)))
     sliced = df.join(marks, key, "left").withColumn("__slice", F.when(F.col("__hot"), F.date_trunc(every, F.col(ts))))
     order = Window.partitionBy(key, "__slice").orderBy(ts, *tie)
