@@ -7,10 +7,13 @@ buckets. Equal sets are one class from the start; classes meet in buckets.
 
 Pairs within a bucket are not listed. Each round takes a few members of every
 bucket (hubs) and compares them with the members that are not yet in their
-component, on full shingle sets; then the hubs leave the bucket. Members of the
-smallest components are hubs first, so a bucket closes as soon as only its
-largest component is left. No link between different components is missed, and
-thousands of copies cost one comparison each.
+component; then the hubs leave the bucket. Members of the smallest components
+are hubs first, so a bucket closes as soon as only its largest component is
+left. No link between different components is missed, and thousands of copies
+cost one comparison each.
+
+Lengths and the parities of the sets rule out most pairs inside the bucket join
+without losing a link; what is left is decided on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -23,13 +26,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.llm.common import land, prune_with_bloom
+from martwright.llm.common import land, prune_with_bloom, release
 
 # With 40 bands of 6, a pair at similarity 0.8 meets in no bucket with probability 5e-6.
 BANDS, ROWS = 40, 6
 SHINGLE = 2
 PERCENT = 80
-HUBS = (1, 4, 16, 64, 256)  # per bucket and round; the last number goes on
+HUBS = (32, 1024)  # per bucket and round after the first, which has one; the last number goes on
+WORDS = 4  # 64-bit words of a set's parities
 CACHE = 200_000  # words whose hashes a worker remembers
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -91,30 +95,38 @@ def _band_keys(best: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def parities(ids: np.ndarray) -> np.ndarray:
+    """Bit b tells whether an odd number of shingles fall on b, so two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((ids & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit key of the shingle set and the band keys of each row of ``docs``."""
+    """doc_id, n_shingles, a 128-bit key of the shingle set, its band keys and parities for each row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
         for batch in batches:
-            sizes, keys, bands = [], [], []
+            sizes, keys, bands, bits = [], [], [], []
             for text in batch.column("text"):
                 ids = shingles(text.as_py(), cache)
                 sizes.append(len(ids))
                 keys.append(xxhash.xxh3_128_digest(ids.tobytes()))
                 bands.append(_band_keys(signature(ids)) if len(ids) else np.empty(0, np.int64))
+                bits.append(parities(ids))
             yield pa.record_batch(
                 [
                     batch.column("doc_id").cast(pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(bits, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "set_key", "bands"],
+                ["doc_id", "n_shingles", "set_key", "bands", "bits"],
             )
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
+    return plain.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, bits array<long>")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -142,7 +154,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("ids").alias("ids_a"))
     right = sets.select(F.col("node").alias("b"), F.col("ids").alias("ids_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ids_a", "ids_b").mapInArrow(run, "a long, b long").distinct()
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ids_a", "ids_b").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -182,7 +194,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     prune_with_bloom(spark)
     signed = land(signatures(docs))
     usable = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = land(usable.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
+    same = [F.first(c).alias(name) for c, name in (("n_shingles", "n"), ("bands", "bands"), ("bits", "bits"))]
+    classes = land(usable.groupBy("set_key").agg(F.min("doc_id").alias("node"), *same))
     labels = _link(docs, classes, percent)
     named = classes.select("set_key", "node").join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     return signed.join(named, "set_key", "left").select(
@@ -192,46 +205,54 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _possible(percent: int) -> str:
+    """Length and parity filters for a member and a hub (hub_) of its bucket; they hold for all similar pairs."""
+    needed = f"(({percent} * (n + hub_n) + {99 + percent}) div {100 + percent})"
+    differ = " + ".join(f"bit_count(bits_{i} ^ hub_bits_{i})" for i in range(WORDS))
+    return f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n) and {differ} <= n + hub_n - 2 * {needed}"
+
+
 def _link(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """node and component of all classes that have a link."""
     spark = docs.sparkSession
-    entries = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
-    members = land(entries.join(shared, "bucket"))
+    columns = ["bucket", "node", "n", *(f"bits_{i}" for i in range(WORDS))]
+    entries = classes.select(F.explode("bands").alias("bucket"), "node", "n", *(F.col("bits")[i].alias(f"bits_{i}") for i in range(WORDS)))
+    hub = [F.col(f"hub.{c}").alias(f"hub_{c}") for c in columns[1:]]
+    shared = entries.groupBy("bucket").agg(F.min(F.struct(*columns[1:])).alias("hub"), F.max("node").alias("last")).where("hub.node < last").select("bucket", *hub)
+    # The first round: every class is a component of its own, and the first class of a bucket is the hub.
+    members = land(entries.join(shared, "bucket").select(*columns, "hub_node", F.expr(f"node != hub_node and {_possible(percent)}").alias("possible")))
     # ``n > 0`` holds for all; as a stated condition it lets Spark build the Bloom filter.
     involved = members.where("n > 0").select("node").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).join(involved, "node")
     sets = land(_sets(texts))
+    links = land(_verified(members.where("possible").select(F.col("hub_node").alias("a"), F.col("node").alias("b")).distinct(), sets, percent))
+    members = members.where("node != hub_node").select(columns)
     labels = spark.createDataFrame([], "node long, component long")
     rounds = 0
     while True:
-        named = members.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
+        if not links.isEmpty():
+            labels = _merge(labels, links)
+        named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         sizes = named.groupBy("bucket", "component").agg(F.count("*").alias("size"))
         open_ = sizes.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-        placed = land(named.join(sizes.join(open_, "bucket"), ["bucket", "component"]))
+        placed = land(named.join(sizes.join(open_, "bucket"), ["bucket", "component"]).select(*columns, "component", "size"))
+        release(spark)
         if placed.isEmpty():
             return labels
         count = HUBS[min(rounds, len(HUBS) - 1)]
         rounds += 1
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("size", "node"))
-        hubs = land(
-            placed.withColumn("rank", rank)
-            .where(F.col("rank") <= count)
-            .select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_component"))
-        )
+        chosen = placed.withColumn("rank", rank).where(F.col("rank") <= count)
+        hubs = land(chosen.select("bucket", *(F.col(c).alias(f"hub_{c}") for c in [*columns[1:], "component"])))
         pairs = (
             placed.join(hubs, "bucket")
-            .where("component != hub_component")
-            .where(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
-            .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+            .where(f"component != hub_component and {_possible(percent)}")
+            .select(F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b"))
             .distinct()
         )
-        links = land(_verified(land(pairs), sets, percent))
+        links = land(_verified(pairs, sets, percent))
         # Hubs have been compared with all others of their bucket.
-        gone = hubs.select("bucket", F.col("hub").alias("node"))
-        members = land(placed.select("bucket", "node", "n").join(gone, ["bucket", "node"], "left_anti"))
-        if not links.isEmpty():
-            labels = _merge(labels, links)
+        members = placed.select(columns).join(hubs.select("bucket", F.col("hub_node").alias("node")), ["bucket", "node"], "left_anti")
 
 
 def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
