@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"[^\W_]+")
-# Bound of the training sample: labelled documents of each class.
+# Bound of the training sample: labelled documents of each class. Each class is weighted to its true count.
 SAMPLE = {1: 2000, 0: 3000}
 FEATURES = 1 << 18
 MAX_LINES = 20_000  # of the sample that the chain is trained on; all with toxic tokens come first
@@ -77,7 +77,8 @@ class Chain:
         return 1.0 / (1.0 + math.exp(max(-30.0, min(30.0, -z))))
 
 
-def _labelled_lines(texts: list[str], toxic: list[int]) -> list[tuple[list[str], list[int]]]:
+def _labelled_lines(texts: list[str], toxic: list[int], by_class: dict[int, float]) -> list[tuple[list[str], list[int], float]]:
+    """Words, token labels and weight of lines."""
     counts = {0: Counter(), 1: Counter()}
     for text, label in zip(texts, toxic, strict=True):
         counts[label].update({s for w in set(TOKEN.findall(text.lower())) for s in _stems(w)})
@@ -92,7 +93,8 @@ def _labelled_lines(texts: list[str], toxic: list[int]) -> list[tuple[list[str],
         for line in text.lower().split("\n"):
             words = TOKEN.findall(line)
             if words:
-                lines.append((words, [int(bool(label) and any(s in marking for s in _stems(w))) for w in words]))
+                marks = [int(bool(label) and any(s in marking for s in _stems(w))) for w in words]
+                lines.append((words, marks, by_class[label]))
     # Lines with toxic tokens first, then others spread over the sample.
     marked = [x for x in lines if any(x[1])]
     plain = [x for x in lines if not any(x[1])]
@@ -100,15 +102,33 @@ def _labelled_lines(texts: list[str], toxic: list[int]) -> list[tuple[list[str],
     return marked[:MAX_LINES] + plain[:: max(1, len(plain) // room) if room else len(plain) + 1][:room]
 
 
-def fit(texts: list[str], toxic: list[int], epochs: int = 60, rate: float = 0.15, decay: float = 1e-5) -> Chain:
-    """Train on documents in memory (a bounded sample). Without both classes every score is the share of label 1."""
+def _class_weights(toxic: list[int], totals: dict[int, int] | None) -> dict[int, float]:
+    """Weight of a sampled document per class, so that the classes stand as in ``totals``; the mean is one."""
+    sampled = Counter(toxic)
+    totals = {k: max(n, (totals or sampled).get(k, 0)) for k, n in sampled.items()}
+    return {k: totals[k] / n * len(toxic) / sum(totals.values()) for k, n in sampled.items()}
+
+
+def fit(
+    texts: list[str],
+    toxic: list[int],
+    totals: dict[int, int] | None = None,
+    epochs: int = 60,
+    rate: float = 0.15,
+    decay: float = 1e-5,
+) -> Chain:
+    """Train on documents in memory, a bounded sample that stands for ``totals`` documents per class.
+
+    Without ``totals`` the sample stands for itself. Without both classes every score is the share of label 1.
+    """
     if not texts or len(set(toxic)) < 2:
         share = (sum(toxic) + 0.5) / (len(toxic) + 1)
         return Chain(np.zeros(FEATURES, np.float32), np.zeros((2, 2)), (math.log(share / (1 - share)), 0.0, 0.0))
-    lines = _labelled_lines(texts, toxic)
+    by_class = _class_weights(toxic, totals)
+    lines = _labelled_lines(texts, toxic, by_class)
     lines.sort(key=lambda x: -len(x[0]))
     vocabulary: dict[str, int] = {}
-    ids = [[vocabulary.setdefault(w, len(vocabulary)) for w in words] for words, _ in lines]
+    ids = [[vocabulary.setdefault(w, len(vocabulary)) for w in words] for words, _, _ in lines]
     lists = [features(w) for w in vocabulary]
     flat = np.array([f for x in lists for f in x], np.int64)
     owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
@@ -118,19 +138,20 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 60, rate: float = 0.15
     alive = [int((lengths > t).sum()) for t in range(steps)]
     token = [np.array([ids[i][t] for i in range(alive[t])]) for t in range(steps)]
     truth = [np.array([lines[i][1][t] for i in range(alive[t])]) for t in range(steps)]
-    n_tokens = int(lengths.sum())
+    weight = np.array([x[2] for x in lines])
+    n_tokens = float((lengths * weight).sum())
     counts = np.zeros((2, 2))
     for t in range(1, steps):
-        np.add.at(counts, (truth[t - 1][: alive[t]], truth[t]), 1)
+        np.add.at(counts, (truth[t - 1][: alive[t]], truth[t]), weight[: alive[t]])
     moves = np.log((counts + 1) / (counts + 1).sum(1, keepdims=True))
     weights = np.zeros(FEATURES)
     weights[zlib.crc32(b"b") % FEATURES] = -3.0
     grads = np.zeros(FEATURES) + 1e-8
-    tokens, truths = np.concatenate(token), np.concatenate(truth)
+    tokens, truths, heavy = np.concatenate(token), np.concatenate(truth), np.concatenate([weight[:n] for n in alive])
     for _ in range(epochs):
         node = np.bincount(owner, weights[flat], len(lists)).clip(-30, 30)
         got = np.concatenate(_batch_marginals(np.exp(moves), [np.exp(node[x]) for x in token], alive))
-        per_word = np.bincount(tokens, got - truths, len(lists))
+        per_word = np.bincount(tokens, heavy * (got - truths), len(lists))
         gradient = np.bincount(flat, per_word[owner], FEATURES) / n_tokens + decay * weights
         grads += gradient**2
         weights -= rate * gradient / np.sqrt(grads)
@@ -140,7 +161,7 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 60, rate: float = 0.15
     for text in texts:
         m = chain.marginals([cache.get(w) or cache.setdefault(w, chain.potential(w)) for w in TOKEN.findall(text.lower())])
         seen.append((1.0, math.log(1e-4 + sum(m)), max(m, default=0.0)))
-    chain.calibration = tuple(_logistic(np.array(seen), np.array(toxic, float)))
+    chain.calibration = tuple(_logistic(np.array(seen), np.array(toxic, float), np.array([by_class[t] for t in toxic])))
     return chain
 
 
@@ -161,13 +182,13 @@ def _batch_marginals(move: np.ndarray, odds: list[np.ndarray], alive: list[int])
     return out
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Logistic regression by damped Newton steps."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+    """Logistic regression on weighted rows by damped Newton steps."""
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-(x @ w).clip(-30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(hessian, x.T @ (y - p) - ridge * w)
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(hessian, x.T @ (weight * (y - p)) - ridge * w)
         w += step / max(1.0, np.abs(step).max() / 2)
     return w
 
@@ -177,13 +198,26 @@ def held_out() -> "F.Column":
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def _labelled(labels: DataFrame) -> DataFrame:
+    """doc_id and toxic of all documents whose label may be learnt from."""
+    known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return known.where(~held_out())
+
+
+def class_totals(docs: DataFrame, labels: DataFrame) -> dict[int, int]:
+    """Number of rows of ``docs`` with a text per class of all labels that may be learnt from."""
+    rows = docs.where("text is not null and doc_id is not null").groupBy("doc_id").count()
+    counted = rows.join(_labelled(labels), "doc_id").groupBy("toxic").agg(F.sum("count").alias("n"))
+    return {r["toxic"]: r["n"] for r in counted.collect()}
+
+
 def sample(docs: DataFrame, labels: DataFrame, limits: dict[int, int] = SAMPLE) -> tuple[list[str], list[int]]:
     """Texts and labels of at most ``limits`` documents per class, in the order of a hash of their ids."""
-    labelled = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    labelled = _labelled(labels)
     texts, toxic = [], []
     for label, limit in limits.items():
         # The bound keeps the broadcast and the collected texts small.
-        chosen = labelled.where(F.col("toxic") == label).where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+        chosen = labelled.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
         found = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id").where("text is not null").limit(2 * limit)
         rows = found.toPandas().sort_values(["doc_id", "text"])
         texts += rows["text"].tolist()
@@ -192,8 +226,8 @@ def sample(docs: DataFrame, labels: DataFrame, limits: dict[int, int] = SAMPLE)
 
 
 def train(docs: DataFrame, labels: DataFrame, limits: dict[int, int] = SAMPLE) -> Chain:
-    """A chain from labelled documents that are not held out."""
-    return fit(*sample(docs, labels, limits))
+    """A chain from labelled documents that are not held out, with the classes in the ratio of all of them."""
+    return fit(*sample(docs, labels, limits), class_totals(docs, labels))
 
 
 def _scan(chain: Chain):

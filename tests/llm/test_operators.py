@@ -279,6 +279,26 @@ def test_toxic_chain_learns_words_and_beginnings(spark):
     assert {x.doc_id for x in toxicity.drop_toxic(docs, chain).collect()} == {i for i, x in got.items() if not x.predicted}
 
 
+def test_toxic_verdicts_do_not_hang_on_the_sample_limits(spark):
+    r = random.Random(4)
+    rows, labels = [], []
+    for i in range(20_000):  # one in 50 is toxic; the word stands in all of these and in one of 30 others
+        bad = i % 50 == 0
+        rows.append((i, " ".join([*_words(5, 5000 + i), *(["nasty"] if bad or r.random() < 1 / 30 else [])])))
+        labels.append((i, int(bad)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    new = spark.createDataFrame([(1, " ".join([*_words(5, 1), "nasty"])), (2, " ".join(_words(5, 1))), (3, None)], "doc_id long, text string")
+    limits = {1: 250, 0: 2000}
+    assert all(toxicity.class_totals(docs, labels)[k] > n for k, n in limits.items())
+    got = []
+    for chain in (toxicity.train(docs, labels, {1: 10**6, 0: 10**6}), toxicity.train(docs, labels, limits)):
+        got.append({x.doc_id: x for x in toxicity.score(new, chain).collect()})
+    free, bound = got
+    assert 0.2 < free[1].score < 0.5
+    for i in free:
+        assert bound[i].predicted == free[i].predicted and bound[i].score == pytest.approx(free[i].score, abs=0.1)
+
+
 def test_toxic_chain_without_labels(spark, docs, none):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     chain = toxicity.train(docs, labels)
