@@ -26,7 +26,8 @@ TOKEN = re.compile(r"[^\W_]+")
 # Bound of the training sample: labelled documents of each class. Each class is weighted to its true count.
 SAMPLE = {1: 2000, 0: 3000}
 FEATURES = 1 << 18
-MAX_LINES = 20_000  # of the sample that the chain is trained on; all with toxic tokens come first
+# Lines of the sample that the chain is trained on, spread evenly; each stands for as many as were left out.
+MAX_LINES = 20_000
 CACHE = 200_000  # words whose potentials a worker remembers
 
 
@@ -95,11 +96,20 @@ def _labelled_lines(texts: list[str], toxic: list[int], by_class: dict[int, floa
             if words:
                 marks = [int(bool(label) and any(s in marking for s in _stems(w))) for w in words]
                 lines.append((words, marks, by_class[label]))
-    # Lines with toxic tokens first, then others spread over the sample.
     marked = [x for x in lines if any(x[1])]
     plain = [x for x in lines if not any(x[1])]
-    room = max(0, MAX_LINES - len(marked))
-    return marked[:MAX_LINES] + plain[:: max(1, len(plain) // room) if room else len(plain) + 1][:room]
+    # Lines with toxic tokens have the room that is free, and half of it at least.
+    room = max(MAX_LINES // 2, MAX_LINES - len(plain))
+    chosen = _spread(marked, room)
+    return chosen + _spread(plain, MAX_LINES - len(chosen))
+
+
+def _spread(lines: list[tuple[list[str], list[int], float]], limit: int) -> list[tuple[list[str], list[int], float]]:
+    """At most ``limit`` lines at even distances, weighted so that they stand for all."""
+    if len(lines) <= limit:
+        return lines
+    more = len(lines) / limit
+    return [(words, marks, weight * more) for words, marks, weight in (lines[int((i + 0.5) * more)] for i in range(limit))]
 
 
 def _class_weights(toxic: list[int], totals: dict[int, int] | None) -> dict[int, float]:

@@ -299,6 +299,22 @@ def test_toxic_verdicts_do_not_hang_on_the_sample_limits(spark):
         assert bound[i].predicted == free[i].predicted and bound[i].score == pytest.approx(free[i].score, abs=0.1)
 
 
+@pytest.mark.parametrize("marked, plain", [(40, 70), (300, 200), (300, 20), (20, 300)])
+def test_lines_of_the_toxic_chain_come_from_the_whole_sample(monkeypatch, marked, plain):
+    monkeypatch.setattr(toxicity, "MAX_LINES", 100)
+    texts = [f"nasty t{i}" for i in range(marked)] + [f"fine c{i}" for i in range(plain)]
+    toxic = [1] * marked + [0] * plain
+    lines = toxicity._labelled_lines(texts, toxic, {0: 1.0, 1: 1.0})
+    assert len(lines) == min(100, marked + plain)
+    for mark, total in (("t", marked), ("c", plain)):
+        picked = [(int(words[1][1:]), weight) for words, _, weight in lines if words[1][0] == mark]
+        assert len(picked) >= min(50, total)
+        assert sum(w for _, w in picked) == pytest.approx(total)
+        # No stretch of the sample is left out.
+        at = [-1, *sorted(i for i, _ in picked), total]
+        assert max(b - a for a, b in zip(at, at[1:])) <= total // len(picked) + 2
+
+
 def test_toxic_chain_without_labels(spark, docs, none):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     chain = toxicity.train(docs, labels)
