@@ -3,8 +3,9 @@
 Labels exist per document, so tokens are labelled first: in toxic documents, a
 token is toxic if its word or the beginning of it is far more frequent in toxic
 than in clean documents. On lines with these token labels a chain of two states
-is trained, with words, word beginnings and endings as features. Forward and
-backward messages give each token's marginal; their sum and maximum give the
+is trained, with words, word beginnings and endings as features; its transitions
+start from the observed ones and are trained with them. Forward and backward
+messages give each token's marginal; their sum and maximum give the
 score of a document, and runs of likely tokens are the offending spans.
 """
 
@@ -154,17 +155,21 @@ def fit(
     for t in range(1, steps):
         np.add.at(counts, (truth[t - 1][: alive[t]], truth[t]), weight[: alive[t]])
     moves = np.log((counts + 1) / (counts + 1).sum(1, keepdims=True))
+    move_grads = np.zeros((2, 2)) + 1e-8
     weights = np.zeros(FEATURES)
     weights[zlib.crc32(b"b") % FEATURES] = -3.0
     grads = np.zeros(FEATURES) + 1e-8
     tokens, truths, heavy = np.concatenate(token), np.concatenate(truth), np.concatenate([weight[:n] for n in alive])
     for _ in range(epochs):
         node = np.bincount(owner, weights[flat], len(lists)).clip(-30, 30)
-        got = np.concatenate(_batch_marginals(np.exp(moves), [np.exp(node[x]) for x in token], alive))
-        per_word = np.bincount(tokens, heavy * (got - truths), len(lists))
+        marginals, pairs = _batch_marginals(np.exp(moves), [np.exp(node[x]) for x in token], alive, weight)
+        per_word = np.bincount(tokens, heavy * (np.concatenate(marginals) - truths), len(lists))
         gradient = np.bincount(flat, per_word[owner], FEATURES) / n_tokens + decay * weights
         grads += gradient**2
         weights -= rate * gradient / np.sqrt(grads)
+        gradient = (pairs - counts) / n_tokens + decay * moves
+        move_grads += gradient**2
+        moves -= rate * gradient / np.sqrt(move_grads)
     chain = Chain(weights.astype(np.float32), moves, (0.0, 1.0, 0.0))
     cache = {w: chain.potential(w) for w in vocabulary}
     seen = []
@@ -175,21 +180,26 @@ def fit(
     return chain
 
 
-def _batch_marginals(move: np.ndarray, odds: list[np.ndarray], alive: list[int]) -> list[np.ndarray]:
+def _batch_marginals(move: np.ndarray, odds: list[np.ndarray], alive: list[int], weight: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Marginals of all tokens, and the expected transitions (2 x 2) of the weighted lines."""
     (cc, ct), (tc, tt) = move
     forward = [odds[0]]
     for t in range(1, len(odds)):
         a = forward[-1][: alive[t]]
         forward.append((odds[t] * (ct + tt * a) / (cc + tc * a)).clip(1e-30, 1e30))
-    back, out = np.ones(alive[-1]), [None] * len(odds)
+    back, out, pairs = np.ones(alive[-1]), [None] * len(odds), np.zeros((2, 2))
     for t in range(len(odds) - 1, -1, -1):
         if len(back) < alive[t]:
             back = np.concatenate((back, np.ones(alive[t] - len(back))))
         r = forward[t] * back
         out[t] = r / (1 + r)
         v = odds[t] * back
+        if t:
+            a = forward[t - 1][: alive[t]]
+            each = np.array([[np.full_like(v, cc), ct * v], [tc * a, tt * a * v]])
+            pairs += (each * (weight[: alive[t]] / each.sum((0, 1)))).sum(2)
         back = (tc + tt * v) / (cc + ct * v)
-    return out
+    return out, pairs
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:

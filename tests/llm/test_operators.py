@@ -337,6 +337,57 @@ def test_chain_marginals_equal_enumeration():
     assert chain.marginals(odds) == pytest.approx([x / total for x in one])
 
 
+def test_expected_transitions_equal_enumeration():
+    import itertools
+
+    import numpy as np
+
+    move, odds, weight = np.array([[0.9, 0.1], [0.3, 0.7]]), [[0.2, 3.0, 0.5, 1.5], [2.0, 0.4]], np.array([1.5, 0.5])
+    want = np.zeros((2, 2))
+    for line, w in zip(odds, weight):
+        total, one = 0.0, np.zeros((2, 2))
+        for path in itertools.product((0, 1), repeat=len(line)):
+            steps = list(zip(path, path[1:]))
+            p = np.prod([o if y else 1.0 for o, y in zip(line, path)]) * np.prod([move[s] for s in steps])
+            total += p
+            for s in steps:
+                one[s] += p
+        want += w * one / total
+    _, got = toxicity._batch_marginals(move, [np.array([0.2, 2.0]), np.array([3.0, 0.4]), np.array([0.5]), np.array([1.5])], [2, 2, 1, 1], weight)
+    assert got == pytest.approx(want)
+
+
+def test_transitions_of_the_chain_are_trained():
+    import numpy as np
+
+    # The word stands twice in toxic documents and once in some clean ones.
+    r = random.Random(6)
+    texts, toxic = [], []
+    for i in range(3000):
+        w = _words(6, 7000 + i)
+        if i % 30 == 0:
+            w[2:4] = ["nasty", "nasty"]
+        elif r.random() < 0.03:
+            w[2] = "nasty"
+        texts.append(" ".join(w))
+        toxic.append(int(i % 30 == 0))
+    chain = toxicity.fit(texts, toxic, epochs=200)
+    observed = np.array([[0.0, 0.0], [0.0, 0.0]])
+    lines = toxicity._labelled_lines(texts, toxic, {0: 1.0, 1: 1.0})
+    for _, marks, weight in lines:
+        for step in zip(marks, marks[1:]):
+            observed[step] += weight
+    expected = np.zeros((2, 2))
+    for words, _, weight in lines:
+        odds = [np.array([chain.potential(w)]) for w in words]
+        expected += toxicity._batch_marginals(np.exp(chain.moves), odds, [1] * len(odds), np.array([weight]))[1]
+    # The expected transitions of a trained chain are the observed ones.
+    assert observed.min() > 50
+    assert expected == pytest.approx(observed, rel=0.1)
+    start = np.log((observed + 1) / (observed + 1).sum(1, keepdims=True))
+    assert np.abs(chain.moves - start).max() > 0.1
+
+
 PII = [
     "mail a.b+c@x-1.example.com and z@y, 1.2.3.4.5.6.7.8 or 300.1.1.1",
     "card 4111 1111 1111 1111 no 4111 1111 1111 1112, +1 (414) 555-7134. +12 3",
