@@ -13,14 +13,18 @@ from martwright.llm import interleave, minhash, raking, toxicity, wumanber
 from martwright.llm.common import land, table
 
 
+# Words of a shingle of the near-duplicates stage; two, as in op2, would drop more.
+SHINGLE = 5
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
     return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each component of near-duplicates."""
-    return minhash.deduplicate(docs)
+    """The first document of each component of near-duplicates, by shingles of five words."""
+    return minhash.deduplicate(docs, size=SHINGLE)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

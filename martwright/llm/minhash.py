@@ -1,6 +1,6 @@
 """Near-duplicate documents by circulant MinHash, banding and exact verification.
 
-A document is its set of two-word shingles. Two permutations make all signature
+A document is its set of word shingles, of two words unless stated. Two permutations make all signature
 coordinates: sigma scatters the shingles once, and coordinate k is the minimum of
 pi over the scattered values shifted circularly by k. Bands of coordinates give
 buckets. Equal sets are one class from the start; classes meet in buckets.
@@ -101,7 +101,7 @@ def parities(ids: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, a 128-bit key of the shingle set, its band keys and parities for each row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +109,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         for batch in batches:
             sizes, keys, bands, bits = [], [], [], []
             for text in batch.column("text"):
-                ids = shingles(text.as_py(), cache)
+                ids = shingles(text.as_py(), cache, size)
                 sizes.append(len(ids))
                 keys.append(xxhash.xxh3_128_digest(ids.tobytes()))
                 bands.append(_band_keys(signature(ids)) if len(ids) else np.empty(0, np.int64))
@@ -129,11 +129,11 @@ def signatures(docs: DataFrame) -> DataFrame:
     return plain.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, bits array<long>")
 
 
-def _sets(texts: DataFrame) -> DataFrame:
+def _sets(texts: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
         for batch in batches:
-            packed = [shingles(t.as_py(), cache).tobytes() for t in batch.column("text")]
+            packed = [shingles(t.as_py(), cache, size).tobytes() for t in batch.column("text")]
             yield pa.record_batch([batch.column("node"), pa.array(packed, pa.binary())], ["node", "ids"])
 
     return texts.mapInArrow(run, "node long, ids binary")
@@ -181,8 +181,8 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Component of every row of ``docs`` (doc_id, text) under shingle similarity.
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    """Component of every row of ``docs`` (doc_id, text) under the similarity of shingles of ``size`` words.
 
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable over links,
     itself included) and kept (doc_id = component_id). Texts that are null or have
@@ -192,11 +192,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     spark = docs.sparkSession
     prune_with_bloom(spark)
-    signed = land(signatures(docs))
+    signed = land(signatures(docs, size))
     usable = signed.where("n_shingles > 0 and doc_id is not null")
     same = [F.first(c).alias(name) for c, name in (("n_shingles", "n"), ("bands", "bands"), ("bits", "bits"))]
     classes = land(usable.groupBy("set_key").agg(F.min("doc_id").alias("node"), *same))
-    labels = _link(docs, classes, percent)
+    labels = _link(docs, classes, percent, size)
     named = classes.select("set_key", "node").join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     return signed.join(named, "set_key", "left").select(
         "doc_id",
@@ -212,7 +212,7 @@ def _possible(percent: int) -> str:
     return f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n) and {differ} <= n + hub_n - 2 * {needed}"
 
 
-def _link(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _link(docs: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
     """node and component of all classes that have a link."""
     spark = docs.sparkSession
     columns = ["bucket", "node", "n", *(f"bits_{i}" for i in range(WORDS))]
@@ -224,7 +224,7 @@ def _link(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     # ``n > 0`` holds for all; as a stated condition it lets Spark build the Bloom filter.
     involved = members.where("n > 0").select("node").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).join(involved, "node")
-    sets = land(_sets(texts))
+    sets = land(_sets(texts, size))
     links = land(_verified(members.where("possible").select(F.col("hub_node").alias("a"), F.col("node").alias("b")).distinct(), sets, percent))
     members = members.where("node != hub_node").select(columns)
     labels = spark.createDataFrame([], "node long, component long")
@@ -267,7 +267,7 @@ def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     return land(known.join(merged, "component", "left").select("node", F.coalesce("merged", "component").alias("component")))
 
 
-def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def deduplicate(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """Rows of ``docs`` that are the first of their component, all columns as they were."""
-    dropped = land(near_duplicates(docs, percent).where("not kept").select("doc_id").distinct())
+    dropped = land(near_duplicates(docs, percent, size).where("not kept").select("doc_id").distinct())
     return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)

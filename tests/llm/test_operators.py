@@ -87,6 +87,21 @@ def test_near_duplicates_equal_brute_force(docs, texts, none):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, x in want.items() if x[2]}
 
 
+def test_near_duplicates_stage_takes_five_words(spark):
+    base = _words(100, 3)
+    more = [*base[:20], "one", *base[21:50], "two", *base[51:80], "three", *base[81:]]
+    texts = {1: " ".join(base), 2: " ".join(base), 3: " ".join(more), 4: " ".join([*base[:99], "end"])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+
+    def close(a, b, size):
+        x, y = (set(zip(*(t.split()[i:] for i in range(size)))) for t in (texts[a].lower(), texts[b].lower()))
+        return len(x & y) >= 0.8 * len(x | y)
+
+    assert close(1, 3, 2) and not any(close(i, 3, 5) for i in (1, 2, 4)) and close(1, 4, 5)
+    assert {x.doc_id for x in minhash.deduplicate(docs).collect()} == {1}
+    assert {x.doc_id for x in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()} == {1, 3}
+
+
 def test_near_duplicates_without_id(spark):
     df = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (3, "a b c"), (4, None)], "doc_id long, text string")
     got = sorted(map(tuple, minhash.near_duplicates(df).collect()), key=str)
