@@ -4,7 +4,8 @@ The patterns give the base spans. The field labels tokens that can be personal
 data at all (they hold a digit or @): neighbours in the text share a potential,
 and so do tokens that repeat each other, wherever they stand. Its weights are
 learnt from the base spans of a bounded sample by pseudo-likelihood. Loopy
-belief propagation runs over all documents of a batch at once, and runs of
+belief propagation runs over all documents of a batch at once, in each until its
+own messages settle, and runs of
 tokens with a certain label become further spans where no base span is. A token
 without digit and @ is never personal data, so it cuts the chain and costs
 nothing; this is exact, as its label is known.
@@ -26,7 +27,8 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
 SAMPLE = 2000  # documents with a digit or @ that the weights are learnt from
 SURE = 0.95  # marginal from which a token counts
-ROUNDS = 25  # of message passing
+ROUNDS = 25  # of message passing that any document may take, besides four per token
+SETTLED = 1e-4  # change of a document's messages from which it is done
 
 _CANDIDATE = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -152,7 +154,11 @@ class Field:
         return out
 
     def marginals(self, graph: Graph) -> np.ndarray:
-        """Loopy belief propagation: all messages at once, damped, until they settle."""
+        """Loopy belief propagation: all messages at once, damped, until those of a document settle.
+
+        A document with n candidate tokens may take ROUNDS + 4 n rounds, enough for
+        evidence to reach the far end of a path; other documents play no part.
+        """
         scores = self.node_scores(graph)
         node = np.exp(scores - scores.max(1, keepdims=True))
         edges = np.array(graph.chain + graph.skip, np.int64).reshape(-1, 2)
@@ -166,17 +172,22 @@ class Field:
         half = len(edges)
         reverse = np.concatenate((np.arange(half, 2 * half), np.arange(half)))
         messages = np.full((2 * half, len(LABELS)), 1.0 / len(LABELS))
-        for _ in range(ROUNDS):
-            logs = np.log(messages)
-            belief = np.log(node + 1e-30)
-            np.add.at(belief, target, logs)
-            out = belief[source] - logs[reverse]
+        # Edges stay within a document, so each one is followed by itself.
+        owner = np.array(graph.owner, np.int64)[source]
+        rounds = ROUNDS + 4 * np.bincount(graph.owner)
+        evidence, live, taken = np.log(node + 1e-30), np.arange(2 * half), 0
+        while len(live):
+            taken += 1
+            belief = evidence.copy()
+            np.add.at(belief, target[live], np.log(messages[live]))
+            out = belief[source[live]] - np.log(messages[reverse[live]])
             out = np.exp(out - out.max(1, keepdims=True))
-            new = np.einsum("ei,eij->ej", out, tables)
-            new = 0.5 * messages + 0.5 * new / new.sum(1, keepdims=True)
-            moved, messages = np.abs(new - messages).max(), new.clip(1e-12)
-            if moved < 1e-4:
-                break
+            new = np.einsum("ei,eij->ej", out, tables[live])
+            new = 0.5 * messages[live] + 0.5 * new / new.sum(1, keepdims=True)
+            moved = np.zeros(len(rounds))
+            np.maximum.at(moved, owner[live], np.abs(new - messages[live]).max(1))
+            messages[live] = new.clip(1e-12)
+            live = live[((moved >= SETTLED) & (taken < rounds))[owner[live]]]
         belief = np.log(node + 1e-30)
         np.add.at(belief, target, np.log(messages))
         belief = np.exp(belief - belief.max(1, keepdims=True))

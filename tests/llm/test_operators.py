@@ -436,6 +436,33 @@ def test_base_spans_stay(spark):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(b.startswith(k) for b in base) for k in skipchain.KINDS]
 
 
+def test_evidence_reaches_far_copies_whatever_the_batch_holds():
+    import numpy as np
+
+    k, copies = len(skipchain.LABELS), 80
+    tie = np.full((k, k), -6.0) + 12.0 * np.eye(k)
+    model = skipchain.Field({"mail": 0}, np.array([[0, 12.0, 0, 0, 0]]), np.zeros((k, k)), tie)
+
+    def add(graph, owner, n):
+        at = len(graph.spans)
+        graph.spans += [(i, i + 1) for i in range(n)]
+        graph.owner += [owner] * n
+        graph.features += [["mail"] if i == 0 else [] for i in range(n)]
+        graph.barred += [0] * n
+        graph.skip += [(at + i, at + i + 1) for i in range(n - 1)]
+        return graph
+
+    alone = model.marginals(add(skipchain.Graph(), 0, copies))
+    # On a path the marginal is exact: the first token's evidence, moved on by each tie.
+    move = np.exp(tie) / np.exp(tie).sum(1, keepdims=True)
+    start = np.exp([0, 12.0, 0, 0, 0])
+    assert alone[-1] == pytest.approx(start / start.sum() @ np.linalg.matrix_power(move, copies - 1), abs=0.01)
+    assert alone[-1].argmax() == 1 and alone[-1].max() > 0.95
+    # A short document has the same marginals with and without a long one in its batch.
+    short = model.marginals(add(skipchain.Graph(), 0, 3))
+    assert (model.marginals(add(add(skipchain.Graph(), 0, 3), 1, copies))[:3] == short).all()
+
+
 def test_repeated_tokens_share_evidence():
     import numpy as np
 
