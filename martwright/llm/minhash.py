@@ -32,7 +32,8 @@ from martwright.llm.common import land, prune_with_bloom, release
 BANDS, ROWS = 40, 6
 SHINGLE = 2
 PERCENT = 80
-HUBS = (32, 1024)  # per bucket and round after the first, which has one; the last number goes on
+# Per bucket and round after the first, which has one; the last number goes on. Up to 1000, Spark plans a group limit.
+HUBS = (32, 1000)
 WORDS = 4  # 64-bit words of a set's parities
 CACHE = 200_000  # words whose hashes a worker remembers
 

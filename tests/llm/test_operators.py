@@ -6,6 +6,7 @@ import re
 import zlib
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -102,6 +103,13 @@ def test_near_duplicates_stage_takes_five_words(spark):
     assert {x.doc_id for x in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()} == {1, 3}
 
 
+def test_hubs_of_a_bucket_are_a_group_limit(spark):
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
+    for count in minhash.HUBS:
+        ranked = spark.range(5000).withColumn("bucket", F.col("id") % 2).withColumn("rank", rank).where(F.col("rank") <= count)
+        assert "WindowGroupLimit" in ranked._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_near_duplicates_without_id(spark):
     df = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (3, "a b c"), (4, None)], "doc_id long, text string")
     got = sorted(map(tuple, minhash.near_duplicates(df).collect()), key=str)
