@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import chat, interleave, line_join, minhash, prefix_doubling, raking, skipchain, thresholds, toxicity, wumanber
+from martwright.llm import (
+    chat,
+    interleave,
+    line_join,
+    main_text,
+    minhash,
+    negatives,
+    prefix_doubling,
+    raking,
+    skipchain,
+    spelling,
+    thresholds,
+    toxicity,
+    wumanber,
+)
 from martwright.llm.common import table
 
 
@@ -69,6 +83,21 @@ def op10_raked_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return raking.mixture(table(spark, folder, "documents"))
 
 
+def op11_ratio_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text.main_text(table(spark, folder, "pages"))
+
+
+def op12_reduced_alphabet(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with the forms that they are spelling variants of."""
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op13_packed_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    return negatives.mine(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,6 +111,9 @@ QUERIES = {
         op8_skip_chain,
         op9_wu_manber,
         op10_raked_mixture,
+        op11_ratio_clusters,
+        op12_reduced_alphabet,
+        op13_packed_negatives,
     )
 }
 
@@ -211,9 +243,107 @@ from rows join p{len(steps)} using (source, lang, topic)
 """
 
 
+# The pages of the tables have one article of headings and paragraphs; a plain cut gives the same text there.
+_MAIN_TEXT = r"""
+with blocks as (
+  select row_number() over () as r, page_id, url,
+         string_split_regex(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '</?(?:p|h1)>') as raw from pages
+),
+plain as (
+  select r, page_id, url, list_transform(raw, lambda b: trim(regexp_replace(
+      replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(replace(b, '<br>', ' '), '<[^>]*>', '', 'g'), '&amp($|;)', chr(1), 'g'),
+      '&quot;?', '"', 'g'), '&lt;', '<'), '&gt;', '>'), '&#39;', chr(39)), chr(1), '&'), '\s+', ' ', 'g'))) as texts
+  from blocks
+),
+kept as (select page_id, url, list_filter(texts, lambda b: b != '') as texts from plain)
+select page_id, url, coalesce(array_to_string(texts, chr(10) || chr(10)), '') as text,
+       length(coalesce(array_to_string(texts, chr(10) || chr(10)), '')) as n_chars, len(texts) as n_blocks
+from kept
+"""
+
+_VARIANTS = """
+with recursive crc_table as (
+  select list(c order by b) as t from (
+    with recursive step(b, k, c) as (
+      select cast(b as bigint), 0, cast(b as bigint) from range(256) r(b)
+      union all
+      select b, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from step where k < 8
+    ) select b, c from step where k = 8)
+),
+runs as (
+  select coalesce(cast(doc_id as varchar), '') || ':' || run as name, run, count(*) as times
+  from (select doc_id, unnest(regexp_extract_all(LOWERED, '[A-Za-z\u00C0-\u00FF]+')) as run from documents)
+  where length(run) >= 7 group by all
+),
+summed as (
+  select run, times, xor(list_reduce(
+      list_prepend(cast(4294967295 as bigint), [cast('0x' || substr(h, cast(2 * i + 1 as int), 2) as bigint) for i in range(length(h) // 2)]),
+      lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) as crc
+  from (select *, hex(encode(name)) as h from runs), crc_table
+),
+words as (
+  select word, cast(sum(times) as bigint) as n
+  from (select times, case when crc % 31 = 0 then left(run, cast(crc % length(run) as int)) || substr(run, cast(crc % length(run) as int) + 2) else run end as word
+        from summed)
+  where length(word) >= 7 group by word having sum(times) >= 2
+),
+holes as (
+  select word, n, i, left(word, cast(i as int)) as head, substr(word, cast(i as int) + 2) as tail
+  from (select word, n, unnest(range(length(word))) as i from words)
+),
+pairs as (
+  select a.word, a.n, b.word as near, b.n as near_n from holes a join holes b using (i, head, tail) where a.word != b.word
+  union
+  select h.word, h.n, w.word, w.n from holes h join words w on w.word = h.head || h.tail
+  union
+  select w.word, w.n, h.word, h.n from holes h join words w on w.word = h.head || h.tail
+),
+ranked as (
+  select *, count(*) over (partition by word) as n_near, row_number() over (partition by word order by near_n desc, near) as place from pairs
+),
+forms as (
+  select words.word, case when near_n >= 10 * words.n then near end as form, words.n, coalesce(n_near, 0) as n_near,
+         case when near_n >= 10 * words.n then near_n end as form_n
+  from words left join (select * from ranked where place = 1) r on r.word = words.word
+),
+chains(word, root) as (
+  select word, word from forms
+  union all
+  select c.word, f.form from chains c join forms f on f.word = c.root where f.form is not null
+),
+roots as (select c.word, c.root from chains c join forms f on f.word = c.root where f.form is null)
+select word, form, root, n, n_near, form_n from forms join roots using (word)
+""".replace("LOWERED", _LOWER.format("coalesce(text, '')"))
+
+_NEGATIVES = """
+with vectors as (
+  select vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, cast(list_inner_product(a.q, b.q) as bigint) as score
+  from vectors a, vectors b where a.vec_id % 50 = 0
+),
+positives as (
+  select anchor_id, other_id as positive_id, score as positive_score from scored where same and other_id != anchor_id
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, other_id) as int) as rank,
+       other_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, other_id) <= 3
+"""
+
 ORACLE = {
     "op4_interleaved_shards": _SHARDS,
     "op7_chat_formatting": _CHAT,
     "op9_wu_manber": _CONTAMINATION,
     "op10_raked_mixture": _mixture_sql(),
+    "op11_ratio_clusters": _MAIN_TEXT,
+    "op12_reduced_alphabet": _VARIANTS,
+    "op13_packed_negatives": _NEGATIVES,
 }

@@ -16,14 +16,14 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data"
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in ("documents", "labels", "benchmark", "conversations"):
+    for table in ("documents", "labels", "benchmark", "conversations", "embeddings", "pages"):
         connection.sql(f"create view {table} as select * from '{FOLDER}/{table}.parquet'")
     return connection
 
 
 def test_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLE))
