@@ -570,26 +570,41 @@ ORACLE["newer_transactions"] = _with(
 ORACLE["repeat_customers"] = _with(
     "user_order_log", "select customer_id from user_order_log group by customer_id having count(id) > 1"
 )
-ORACLE["stream_promo_triggers"] = _promo("select restaurant_id, adv_campaign_id, client_id from triggers")
+ORACLE["item_counter_replayed"] = ORACLE["item_counter_upsert"]
+ORACLE["stream_promo_triggers"] = _promo(
+    ORACLE["promo_payload"].removeprefix(_promo("")).replace("select cast", "select 'topic' as output, cast", 1)
+    + """ union all select 'feedback', cast(client_id as varchar), concat_ws('|', restaurant_id, adv_campaign_id, adv_campaign_content,
+        adv_campaign_owner_contact, adv_campaign_datetime_start, adv_campaign_datetime_end, datetime_created, client_id, trigger_datetime_created)
+        from triggers union all select 'unreadable', '', concat('{', restaurant_id) from campaigns"""
+)
+ORACLE["promo_trigger_times"] = _promo(
+    """select restaurant_id, adv_campaign_id, client_id, epoch_ms(adv_campaign_datetime_start) as started_at,
+        epoch_ms(trigger_datetime_created) as created_at,
+        timezone(case restaurant_id when '3' then 'Asia/Tokyo' when '7' then 'America/New_York' else 'Europe/Berlin' end,
+            timezone('UTC', epoch_ms(adv_campaign_datetime_start))) as started_local from triggers"""
+)
+_VAULT_COLUMNS = {
+    **{c: "varchar" for thing in _IDS for c in (f"h_{thing}_pk", _IDS[thing][1])},
+    **{c: "varchar" for c in ("username", "status", "name")},
+    **{"cost": "double", "payment": "double", "order_dt": "timestamp"},
+}
+
+
+def _vault_part(query: str, prefix: str, key: str) -> str:
+    """The SQL of one vault table (without the inputs in front) with the columns of all."""
+    body = ORACLE[query].removeprefix(_with("order_products", ""))
+    shown = ", ".join(f"cast({c} as {kind}) as {c}" for c, kind in _VAULT_COLUMNS.items())
+    nulls = ", ".join(f"cast(null as {kind}) as {c}" for c, kind in _VAULT_COLUMNS.items())
+    return f"select '{prefix}{query.split('_', 1)[1]}' as vault_table, {key} as key, {shown} from (select * from ({body}) union all by name select {nulls} where false)"
+
+
 ORACLE["stream_vault_tables"] = _with(
     "order_products",
     " union all ".join(
-        f"select '{name}' as table_name, count(distinct ({columns})) as row_count from order_products"
-        for name, columns in [
-            ("h_restaurant", "restaurant_id"),
-            ("h_user", "user_id"),
-            ("h_product", "product_id"),
-            ("h_category", "category"),
-            ("h_order", "order_id"),
-            ("l_order_user", "order_id, user_id"),
-            ("l_product_category", "product_id, category"),
-            ("l_product_restaurant", "product_id, restaurant_id"),
-            ("l_order_product", "order_id, product_id"),
-            ("s_user_names", "user_id, user_name"),
-            ("s_order_cost", "order_id, cost"),
-            ("s_order_status", "order_id, status"),
-            ("s_restaurant_names", "restaurant_id, restaurant_name"),
-            ("s_product_names", "product_id, product_name"),
+        [
+            *(_vault_part(f"hub_{t}", "h_", f"h_{t}_pk") for t in _IDS),
+            *(_vault_part(f"link_{n}", "l_", f"hk_{n}_pk") for n in ("order_user", "product_category", "product_restaurant", "order_product")),
+            *(_vault_part(f"sat_{n}", "s_", f"hk_{n}_pk") for n in ("user_names", "order_cost", "order_status", "restaurant_names", "product_names")),
         ]
     ),
 )

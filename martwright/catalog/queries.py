@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright.catalog.adapters import Inputs
-from martwright.functions import hash_key
+from martwright.functions import from_ms, hash_key, local_time
 from martwright.operators import (
     empty_like,
     exclude,
@@ -48,8 +48,9 @@ from martwright.sources import (
     stream_new_files,
     write_partitioned,
 )
-from martwright.streaming import load_counters, load_vault, promotion_triggers, run_stream, send_triggers
-from martwright.streaming.orders import category_counters, product_counters, vault_hub, vault_link, vault_satellite
+from martwright.sources.state_table import StateTable, summed_rows
+from martwright.streaming import load_counters, load_vault, promotion_outputs, run_stream, send_triggers
+from martwright.streaming.orders import category_counters, product_counters, vault_state
 
 # Parameters of the runs.
 SINCE = "2000-01-01"
@@ -631,11 +632,11 @@ def stg_transactions(t: Inputs) -> DataFrame:
 
 @query
 def order_log_csv(t: Inputs) -> DataFrame:
-    """Increments before and after the status column was added."""
+    """One folder of increments from before and after the status column was added."""
     folder, log = fresh_folder(t.spark, "increments"), t.user_order_log
-    log.where("status is null").drop("status").write.option("header", True).csv(f"{folder}/old")
-    log.where("status is not null").write.option("header", True).csv(f"{folder}/new")
-    return read_order_log_csv(t.spark, f"{folder}/old").unionByName(read_order_log_csv(t.spark, f"{folder}/new"))
+    log.where("status is null").drop("status").write.option("header", True).mode("append").csv(folder)
+    log.where("status is not null").select("status", *[c for c in log.columns if c != "status"]).write.option("header", True).mode("append").csv(folder)
+    return read_order_log_csv(t.spark, folder)
 
 
 @query
@@ -688,6 +689,18 @@ def item_counter_upsert(t: Inputs) -> DataFrame:
     return upsert_add(upsert_add(empty_like(first), first, ["product_id"], ["pieces"]), second, ["product_id"], ["pieces"])
 
 
+@query
+def item_counter_replayed(t: Inputs) -> DataFrame:
+    """Pieces per item as running sums; batches that come again, old or last, change nothing."""
+    sold = t.orderitems.groupBy("product_id", (F.col("quantity") % 5).alias("load")).agg(F.sum("quantity").alias("pieces"))
+    table = StateTable(t.spark, fresh_folder(t.spark, "pieces"), "product_id long, pieces long", ["product_id"], summed_rows(["product_id"], ["pieces"]), buckets=4)
+    for load in (0, 1, 2, 1, 3, 4, 4, 0):
+        table.commit(sold.where(F.col("load") == load).select("product_id", F.col("pieces").cast("long")), load)
+    table.compact()
+    table.commit(sold.where("load = 4").select("product_id", F.col("pieces").cast("long")), 4)
+    return table.read()
+
+
 @query
 def new_city_insert(t: Inputs) -> DataFrame:
     """The city dimension after the log's unknown cities were added."""
@@ -714,16 +727,34 @@ def repeat_customers(t: Inputs) -> DataFrame:
 
 @query
 def stream_promo_triggers(t: Inputs) -> DataFrame:
-    """Campaign messages as a stream, to feedback rows and outgoing messages."""
+    """Campaign messages as a stream: feedback rows, outgoing messages and unreadable ones.
+
+    The second run brings the first one's messages again, and older ones that have lagged.
+    """
     folder, out, state = (fresh_folder(t.spark, n) for n in ("campaigns", "triggers", "state"))
-    t.campaigns.select(F.to_json(F.struct("*")).alias("value")).write.text(folder)
-    messages = stream_new_files(t.spark, folder, T.StructType([T.StructField("value", T.StringType())]), "text")
-    sinks = send_triggers(
-        lambda df, n: append_batch(df, f"{out}/feedback", n), lambda df, n: append_batch(df, f"{out}/topic", n)
+    sent = t.campaigns.select("restaurant_id", F.to_json(F.struct("*")).alias("value"))
+    sinks = send_triggers(*(lambda df, n, k=kind: append_batch(df, f"{out}/{k}", n) for kind in ("feedback", "topic", "unreadable")))
+    for rows in (sent.where("restaurant_id > '3'").select("value"), sent.select(F.explode(F.array("value", F.concat(F.lit("{"), "restaurant_id"))))):
+        rows.write.mode("append").text(folder)
+        messages = stream_new_files(t.spark, folder, T.StructType([T.StructField("value", T.StringType())]), "text")
+        arrived = F.timestamp_millis(F.get_json_object("value", "$.datetime_created").cast("long"))
+        outputs = promotion_outputs(messages.withColumn("timestamp", arrived), t.subscribers, PROMO_NOW)
+        run_stream(outputs, sinks, state).awaitTermination()
+    feedback = read_batches(t.spark, f"{out}/feedback").select(
+        F.lit("feedback").alias("output"), F.col("client_id").cast("string").alias("key"), F.concat_ws("|", *pr.TRIGGER_COLUMNS).alias("value")
     )
-    triggers = promotion_triggers(messages, t.subscribers, PROMO_NOW)
-    run_stream(triggers, sinks, state).awaitTermination()
-    return read_batches(t.spark, f"{out}/feedback").select(*pr.TRIGGER_KEY)
+    topic = read_batches(t.spark, f"{out}/topic").select(F.lit("topic").alias("output"), "key", "value")
+    unreadable = read_batches(t.spark, f"{out}/unreadable").select(F.lit("unreadable").alias("output"), F.lit("").alias("key"), "value")
+    return feedback.unionByName(topic).unionByName(unreadable)
+
+
+@query
+def promo_trigger_times(t: Inputs) -> DataFrame:
+    """When each trigger was made and its campaign starts, as times and on the restaurant's clock."""
+    zones = {"3": "Asia/Tokyo", "7": "America/New_York"}
+    started, made = from_ms("adv_campaign_datetime_start"), from_ms("trigger_datetime_created")
+    local = local_time(started, "restaurant_id", zones, "Europe/Berlin")
+    return _triggers(t).select(*pr.TRIGGER_KEY, started.alias("started_at"), made.alias("created_at"), local.alias("started_local"))
 
 
 def _streamed_vault(t: Inputs) -> str:
@@ -745,14 +776,8 @@ def _streamed_vault(t: Inputs) -> str:
 
 @query
 def stream_vault_tables(t: Inputs) -> DataFrame:
-    """Rows per vault table after the stream."""
-    out = _streamed_vault(t)
-    kinds = [*((n, vault_hub) for n in va.HUBS), *((n, vault_link) for n in va.LINKS), *((n, vault_satellite) for n in va.SATELLITES)]
-    counts = [
-        read(t.spark, out, n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-        for n, read in kinds
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    """Rows of all vault tables after the stream."""
+    return vault_state(t.spark, _streamed_vault(t)).read().drop("load_dt", "load_src", "userlogin")
 
 
 @query

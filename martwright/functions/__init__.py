@@ -3,6 +3,7 @@
 from martwright.functions.dates import (
     at_day,
     datetime_of,
+    from_ms,
     iso_week,
     local_time,
     now_ms,
@@ -31,6 +32,7 @@ __all__ = [
     "at_day",
     "courier_pay",
     "datetime_of",
+    "from_ms",
     "default",
     "delay_days",
     "fill_blank",

@@ -49,6 +49,11 @@ def now_ms(now: str | datetime | None = None) -> Column:
     return F.unix_millis(F.lit(f"{text}+00:00").cast("timestamp"))
 
 
+def from_ms(ms: Column | str) -> Column:
+    """Epoch milliseconds as a UTC time without zone, whatever the session's zone is."""
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=_col(ms) / F.lit(1000).cast("decimal(18,6)"))
+
+
 def local_time(
     ts: Column | str, city: Column | str, zones: Mapping[str, str], default_zone: str
 ) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martwright.plans import geo
+from martwright.plans.promotions import TRIGGER_KEY
 from martwright.plans.vault import MESSAGE
 from martwright.session import build_session
 from martwright.sources import (
@@ -24,12 +25,13 @@ from martwright.sources import (
     read_geo_csv,
     read_jdbc,
     read_kafka_stream,
-    write_jdbc,
+    write_jdbc_batch,
     write_kafka,
     write_mart,
     write_partitioned,
 )
-from martwright.streaming import load_counters, load_vault, promotion_triggers, run_stream, send_triggers
+from martwright.streaming import fan_out, load_counters, load_vault, promotion_outputs, run_stream, send_triggers
+from martwright.streaming.jobs import Sink
 
 
 def copy_events(spark: SparkSession, day: str, depth: str, source: str, target: str) -> None:
@@ -62,44 +64,71 @@ def _prefixed(options: Mapping[str, str], prefix: str) -> dict[str, str]:
     return {k.removeprefix(prefix): v for k, v in options.items() if k.startswith(prefix)}
 
 
-def promotions(spark: SparkSession, servers: str, source: str, topic: str, state: str, **options: str) -> StreamingQuery:
+def promotions(
+    spark: SparkSession, servers: str, source: str, topic: str, state: str, unreadable: str = "", at_once: str = "20", keep: str = "1 hour", **options: str
+) -> StreamingQuery:
     """Campaign topic and subscriber table to the feedback table and the trigger topic.
 
     ``kafka.*`` options go to Kafka, ``in.*`` (url, table, ...) to the
-    subscriber table and ``out.*`` to the feedback table.
+    subscriber table and ``out.*`` to the feedback table. Messages that are no
+    campaigns go to the topic ``unreadable`` where one is given; they are counted in any case.
     """
     security = {k: v for k, v in options.items() if k.startswith("kafka.")}
     read, write = _prefixed(options, "in."), _prefixed(options, "out.")
     clients = read_jdbc(spark, read.pop("url"), read.pop("table"), read)
     url, table = write.pop("url"), write.pop("table")
-    messages = read_kafka_stream(spark, kafka_options(servers, source, 20, security))
+    messages = read_kafka_stream(spark, kafka_options(servers, source, int(at_once), security))
     sinks = send_triggers(
-        lambda df, _: write_jdbc(df, url, table, write), lambda df, _: write_kafka(df, servers, topic, security)
+        lambda df, n: write_jdbc_batch(df, url, table, write, n, TRIGGER_KEY),
+        lambda df, _: write_kafka(df, servers, topic, security),
+        _texts_to(servers, unreadable, security),
     )
-    return run_stream(promotion_triggers(messages, clients), sinks, state, every="10 seconds", name="promotions")
+    return run_stream(promotion_outputs(messages, clients, keep=keep), sinks, state, every="10 seconds", name="promotions")
+
+
+def _texts_to(servers: str, topic: str, security: Mapping[str, str]) -> Sink | None:
+    """A sink for raw texts, if there is a topic for them."""
+    if not topic:
+        return None
+    return lambda df, _: write_kafka(df.select(F.lit(None).cast("string").alias("key"), "value"), servers, topic, security)
 
 
 def _json_values(stream: DataFrame, fields) -> DataFrame:
-    text = F.from_json(F.col("value").cast("string"), fields).alias("m")
-    return stream.select(text, F.col("timestamp").cast("timestamp_ntz").alias("load_dt")).select("m.*", "load_dt")
+    text = F.col("value").cast("string")
+    loaded = F.col("timestamp").cast("timestamp_ntz").alias("load_dt")
+    return stream.select(F.from_json(text, fields).alias("m"), loaded, text.alias("text")).select("m.*", "load_dt", "text")
+
 
+def order_vault(
+    spark: SparkSession, servers: str, source: str, topic: str, out: str, state: str, unreadable: str = "", at_once: str = "25", **kafka: str
+) -> StreamingQuery:
+    """Order topic to vault tables and the topic of enriched messages, some messages every 25 seconds.
 
-def order_vault(spark: SparkSession, servers: str, source: str, topic: str, out: str, state: str, **kafka: str) -> StreamingQuery:
-    """Order topic to vault tables and the topic of enriched messages, 25 messages every 25 seconds."""
-    messages = _json_values(read_kafka_stream(spark, kafka_options(servers, source, 25, kafka)), MESSAGE)
+    Messages without an ``object_id`` go to the topic ``unreadable`` where one is given.
+    """
+    messages = _json_values(read_kafka_stream(spark, kafka_options(servers, source, int(at_once), kafka)), MESSAGE)
+    messages = messages.observe("order_messages", F.count_if(F.col("object_id").isNull()).alias("unreadable"))
 
     def send(df: DataFrame, _: int) -> None:
         body = F.to_json(F.struct("object_id", "object_type", "payload"))
         write_kafka(df.select(F.col("object_id").alias("key"), body.alias("value")), servers, topic, kafka)
 
-    return run_stream(messages.where("object_id is not null"), load_vault(out, send), state, "25 seconds", "order_vault")
+    load, reject = load_vault(out, send), _texts_to(servers, unreadable, kafka)
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        sinks = [lambda rows, n: load(rows.where("object_id is not null").drop("text"), n)]
+        if reject is not None:
+            sinks.append(lambda rows, n: reject(rows.where("object_id is null").select(F.col("text").alias("value")), n))
+        fan_out(df, batch_id, sinks)
+
+    return run_stream(messages, batch, state, "25 seconds", "order_vault")
 
 
-def order_counters(spark: SparkSession, servers: str, source: str, out: str, state: str, **kafka: str) -> StreamingQuery:
-    """Topic of enriched messages to the counter rows, 50 messages every 25 seconds."""
+def order_counters(spark: SparkSession, servers: str, source: str, out: str, state: str, at_once: str = "50", **kafka: str) -> StreamingQuery:
+    """Topic of enriched messages to the counters, some messages every 25 seconds."""
     fields = "object_id string, object_type string, payload string"
-    enriched = _json_values(read_kafka_stream(spark, kafka_options(servers, source, 50, kafka)), fields)
-    return run_stream(enriched, load_counters(out), state, "25 seconds", "order_counters")
+    enriched = _json_values(read_kafka_stream(spark, kafka_options(servers, source, int(at_once), kafka)), fields)
+    return run_stream(enriched.drop("text"), load_counters(out), state, "25 seconds", "order_counters")
 
 
 JOBS = {

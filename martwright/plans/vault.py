@@ -142,6 +142,85 @@ def vault_tables(rows: DataFrame, names: Sequence[str] | None = None) -> dict[st
     return {n: build(rows, n) for n, build in builders.items() if names is None or n in names}
 
 
+# Columns of ``vault_rows``: the own key column of links and satellites is ``key``.
+VAULT_COLUMNS = {
+    **dict.fromkeys(["vault_table", "key", *(h[1] for h in HUBS.values()), *(h[2] for h in HUBS.values()), "username", "userlogin", "status", "name", "load_src"], "string"),
+    **{"cost": "decimal(14,2)", "payment": "decimal(14,2)", "order_dt": "timestamp_ntz", "load_dt": "timestamp_ntz"},
+}
+
+
+def vault_rows(messages: DataFrame) -> DataFrame:
+    """Rows of all 14 tables from order messages, by one pass and one shuffle.
+
+    A message gives an entry (table, first and second natural key or hashed value)
+    for each table of the order, and each of its products one for each table of the
+    product. Equal entries are combined before the shuffle; only what is left is hashed.
+    """
+    field = {
+        "order_id": "id", "cost": "cost", "payment": "payment", "status": "status", "restaurant_id": "restaurant.id",
+        "restaurant_name": "restaurant.name", "user_id": "user.id", "user_name": "user.name",
+    }
+    columns = {name: F.col(f"payload.{path}") for name, path in field.items()}
+    columns |= {"product_id": F.col("product.id"), "product_name": F.col("product.name"), "category": F.col("product.category")}
+    pairs = {n: (HUBS[n][0], None) for n in HUBS} | {n: (HUBS[a][0], HUBS[b][0]) for n, (_, a, b) in LINKS.items()}
+    pairs |= {n: (HUBS[h][0], hashed) for n, (_, h, hashed, _) in SATELLITES.items()}
+    of_product = {"product_id", "product_name", "category"}
+
+    def entries(names: list[str]) -> Column:
+        def entry(name: str) -> Column:
+            a, b = pairs[name]
+            return F.struct(
+                F.lit(name).alias("vault_table"),
+                columns[a].cast("string").alias("a"),
+                (columns[b].cast("string") if b else F.lit("")).alias("b"),
+                (columns["payment"] if name == "s_order_cost" else F.lit(None).cast("decimal(14,2)")).alias("payment"),
+                (F.col("payload.date") if name == "h_order" else F.lit(None).cast("timestamp_ntz")).alias("order_dt"),
+            )
+
+        return F.inline(F.array(*map(entry, names)))
+
+    items = [n for n, pair in pairs.items() if of_product & set(pair)]
+    heads = messages.select("load_dt", entries([n for n in pairs if n not in items]))
+    products = messages.select("load_dt", "payload", F.explode("payload.products").alias("product")).select("load_dt", entries(items))
+    # The payment of the last load, the largest of equals, as one number: structs would make Spark sort instead of hash.
+    cents = F.lit(10**15).cast("decimal(16,0)")
+    stamped = F.unix_micros(F.col("load_dt").cast("timestamp")).cast("decimal(18,0)") * cents + (F.col("payment") * 100).cast("decimal(16,0)")
+    grouped = (
+        heads.union(products)
+        .where("a is not null and b is not null")
+        .groupBy("vault_table", "a", "b")
+        .agg(
+            F.min("load_dt").alias("first_dt"),
+            F.max("load_dt").alias("last_dt"),
+            F.max("order_dt").alias("order_dt"),
+            F.max(F.when(F.col("payment").isNotNull(), stamped)).alias("paid"),
+        )
+        .withColumn("payment", (F.pmod("paid", cents) / 100).cast("decimal(14,2)"))
+    )
+    return _laid_out(grouped)
+
+
+def _laid_out(entries: DataFrame) -> DataFrame:
+    """Hash keys and columns of grouped entries."""
+    kind = F.substring("vault_table", 1, 1)
+
+    def where(names: list[str], value: Column | str) -> Column:
+        return F.when(F.col("vault_table").isin(names), F.col(value) if isinstance(value, str) else value)
+
+    hashed = entries.withColumn("pk_a", uuid3("a")).withColumn("pk_b", F.when(kind == "l", uuid3("b")))
+    keyed = hashed.withColumn("key", F.when(kind == "h", F.col("pk_a")).otherwise(uuid3(F.concat("pk_a", F.coalesce("pk_b", "b")))))
+    out = {"vault_table": F.col("vault_table"), "key": F.col("key")}
+    for hub_name, (_, pk, id_col, _) in HUBS.items():
+        firsts = [hub_name, *(n for n, v in LINKS.items() if v[1] == hub_name), *(n for n, v in SATELLITES.items() if v[1] == hub_name)]
+        out[pk] = F.coalesce(where(firsts, "pk_a"), where([n for n, v in LINKS.items() if v[2] == hub_name], "pk_b"))
+        out[id_col] = where([hub_name], "a")
+    out |= {"username": where(["s_user_names"], "b"), "userlogin": where(["s_user_names"], F.lit(LOGIN)), "status": where(["s_order_status"], "b")}
+    out |= {"name": where(["s_restaurant_names", "s_product_names"], "b"), "load_src": F.lit(SOURCE)}
+    out |= {"cost": where(["s_order_cost"], F.col("b").try_cast("decimal(14,2)")), "payment": F.col("payment"), "order_dt": F.col("order_dt")}
+    out["load_dt"] = F.when(kind == "s", F.col("last_dt")).otherwise(F.col("first_dt"))
+    return keyed.select(*(column.alias(name) for name, column in out.items()))
+
+
 def order_message(messages: DataFrame) -> DataFrame:
     """The enriched outgoing message: one row in, one row out, no shuffle."""
     loaded = [F.col("load_dt").alias("load_dt"), F.lit(SOURCE).alias("load_src")]

@@ -5,11 +5,13 @@ from martwright.sources.connectors import (
     read_jdbc,
     read_kafka_stream,
     write_jdbc,
+    write_jdbc_batch,
     write_kafka,
 )
 from martwright.sources.files import (
     landed_offset,
     mart_path,
+    read_csv_by_header,
     read_csv_typed,
     read_events,
     read_geo_csv,
@@ -42,6 +44,7 @@ __all__ = [
     "landed_offset",
     "mart_path",
     "read_batches",
+    "read_csv_by_header",
     "read_csv_typed",
     "read_events",
     "read_geo_csv",
@@ -53,6 +56,7 @@ __all__ = [
     "stream_new_files",
     "table_view",
     "write_jdbc",
+    "write_jdbc_batch",
     "write_kafka",
     "write_mart",
     "write_partitioned",

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from martwright.operators import exclude
 
 
 def kafka_options(
@@ -44,3 +47,15 @@ def read_jdbc(
 def write_jdbc(df: DataFrame, url: str, table: str, props: Mapping[str, str]) -> None:
     """Append rows to a database table."""
     df.write.format("jdbc").options(url=url, dbtable=table, **props).mode("append").save()
+
+
+def write_jdbc_batch(
+    df: DataFrame, url: str, table: str, props: Mapping[str, str], batch_id: int, keys: Sequence[str], mark: str = "batch_id"
+) -> None:
+    """Append one micro-batch under its id; a batch that comes again adds only the rows that are missing.
+
+    The table needs the whole-number column ``mark``. The database is asked for the keys of this batch only.
+    """
+    columns = ", ".join(keys)
+    there = df.sparkSession.read.format("jdbc").options(url=url, query=f"select {columns} from {table} where {mark} = {int(batch_id)}", **props).load()
+    write_jdbc(exclude(df, there, keys).withColumn(mark, F.lit(int(batch_id)).cast("long")), url, table, props)

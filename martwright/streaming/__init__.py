@@ -1,20 +1,19 @@
 """Structured Streaming jobs."""
 
-from martwright.streaming.jobs import dedupe_stream, enrich_stream, fan_out, run_stream
-from martwright.streaming.orders import load_counters, load_vault, vault_hub, vault_link, vault_satellite
-from martwright.streaming.promotions import promotion_triggers, send_triggers, unreadable_messages
+from martwright.streaming.jobs import StreamCounts, dedupe_stream, enrich_stream, fan_out, run_stream
+from martwright.streaming.orders import load_counters, load_vault, vault_table
+from martwright.streaming.promotions import promotion_outputs, promotion_triggers, send_triggers
 
 __all__ = [
+    "StreamCounts",
     "dedupe_stream",
     "enrich_stream",
     "fan_out",
     "load_counters",
     "load_vault",
+    "promotion_outputs",
     "promotion_triggers",
     "run_stream",
     "send_triggers",
-    "unreadable_messages",
-    "vault_hub",
-    "vault_link",
-    "vault_satellite",
+    "vault_table",
 ]

@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime
 
 import pytest
@@ -10,17 +11,16 @@ from martwright.plans.promotions import decode
 from martwright.plans.vault import explode_products, natural_counter_rows, user_product_counters, vault_tables
 from martwright.sources import append_batch, read_batches, stream_new_files
 from martwright.streaming import (
+    StreamCounts,
     fan_out,
     load_counters,
     load_vault,
-    promotion_triggers,
+    promotion_outputs,
     run_stream,
     send_triggers,
-    vault_hub,
-    vault_link,
-    vault_satellite,
+    vault_table,
 )
-from martwright.streaming.orders import category_counters, product_counters
+from martwright.streaming.orders import KEYS, category_counters, product_counters, vault_state
 
 NOW = 1705276800000
 LINE = T.StructType([T.StructField("value", T.StringType())])
@@ -53,12 +53,13 @@ def promotions(spark, tmp_path, rows):
     sent = send_triggers(
         lambda df, n: append_batch(df, str(tmp_path / "feedback"), n),
         lambda df, n: append_batch(df, str(tmp_path / "topic"), n),
+        lambda df, n: append_batch(df, str(tmp_path / "unreadable"), n),
     )
 
-    def run():
+    def run(keep="1 hour"):
         lines = stream_new_files(spark, str(folder), LINE, "text")
         arrived = F.timestamp_millis(F.coalesce(F.get_json_object("value", "$.arrived").cast("long"), F.lit(NOW)))
-        stream = promotion_triggers(lines.withColumn("timestamp", arrived), clients, "2024-01-15 00:00:00")
+        stream = promotion_outputs(lines.withColumn("timestamp", arrived), clients, "2024-01-15 00:00:00", keep)
         query = run_stream(stream, sent, str(tmp_path / "state"))
         query.awaitTermination()
         return rows(read_batches(spark, str(tmp_path / "feedback")), "adv_campaign_id", "client_id")
@@ -78,16 +79,44 @@ def test_triggers_without_repeats(promotions, spark, tmp_path):
     assert read_batches(spark, str(tmp_path / "feedback")).where("feedback is null").count() == 4
 
 
-def test_state_is_removed_after_the_watermark(promotions):
+def test_late_partitions_and_expired_keys(promotions, spark):
+    folder, run = promotions
+    counts = StreamCounts()
+    spark.streams.addListener(counts)
+    try:
+        drop(folder, "1.txt", [campaign("a"), campaign("b", arrived=NOW + 300_000)])
+        run()
+        # Messages of a partition that lags five minutes, new and repeated.
+        drop(folder, "2.txt", [campaign("c", arrived=NOW), campaign("b", arrived=NOW + 1_000), campaign("a")])
+        run()
+        drop(folder, "3.txt", [campaign("d", arrived=NOW - 600_000), campaign("c", arrived=NOW)])
+        assert run() == [(name, client) for name in "abcd" for client in (1, 2)]
+        # The state of all keys expires by the clock; then a repeat is a trigger again.
+        time.sleep(3)
+        drop(folder, "4.txt", [campaign("a", arrived=NOW)])
+        assert run("1 second").count(("a", 1)) == 1
+        time.sleep(1)
+    finally:
+        spark.streams.removeListener(counts)
+    assert counts.counts["triggers"]["first_rows"] == 8
+
+
+def test_state_expires_by_the_clock(promotions):
     folder, run = promotions
     drop(folder, "1.txt", [campaign("a")])
+    run("1 second")
+    time.sleep(2)
+    drop(folder, "2.txt", [campaign("b")])
+    run("1 second")
+    drop(folder, "3.txt", [campaign("a")])
+    assert run("1 second").count(("a", 1)) == 2
+
+
+def test_unreadable_messages_have_their_own_output(promotions, spark, tmp_path, rows):
+    folder, run = promotions
+    drop(folder, "1.txt", [campaign("a"), "{broken", "{}"])
     run()
-    drop(folder, "2.txt", [campaign("b", arrived=NOW + 600_000)])
-    run()
-    drop(folder, "3.txt", [campaign("c", arrived=NOW + 600_000)])
-    run()
-    drop(folder, "4.txt", [campaign("a", arrived=NOW + 600_000)])
-    assert run().count(("a", 1)) == 2
+    assert rows(read_batches(spark, str(tmp_path / "unreadable")), "value") == [("{broken",), ("{}",)]
 
 
 def test_campaigns_created_long_ago_are_not_late(promotions):
@@ -158,10 +187,10 @@ def test_orders_to_vault_and_counters(spark, tmp_path, rows):
     orders(1, [first], "2024-01-01 00:00:00")
     orders(2, [second, first], "2024-01-02 00:00:00")
 
-    hub = vault_hub(spark, vault, "h_order")
+    hub = vault_table(spark, vault, "h_order")
     assert rows(hub, "order_id", "load_dt") == [("1", datetime(2024, 1, 1)), ("2", datetime(2024, 1, 2))]
-    assert vault_link(spark, vault, "l_order_product").count() == 3
-    assert rows(vault_satellite(spark, vault, "s_user_names"), "username", "load_dt") == [
+    assert vault_table(spark, vault, "l_order_product").count() == 3
+    assert rows(vault_table(spark, vault, "s_user_names"), "username", "load_dt") == [
         ("Ann", datetime(2024, 1, 2)),
         ("Anna", datetime(2024, 1, 2)),
     ]
@@ -175,8 +204,9 @@ def test_orders_to_vault_and_counters(spark, tmp_path, rows):
     lines = spark.read.text(str(folder)).select(F.from_json("value", MESSAGE).alias("m")).select("m.*", F.lit(None).cast("timestamp_ntz").alias("load_dt"))
     exploded = explode_products(lines)
     for name, batch in vault_tables(exploded).items():
-        keys = read_batches(spark, f"{vault}/{name}").select(batch.columns[0]).distinct()
-        assert rows(keys) == rows(batch, batch.columns[0])
+        columns = [c for c in batch.columns if c != "load_dt"]
+        assert batch.columns[0] == KEYS[name]
+        assert rows(vault_table(spark, vault, name), *columns) == rows(batch, *columns)
     assert rows(user_product_counters(natural_counter_rows(exploded))) == rows(product_counters(spark, vault))
 
 
@@ -186,7 +216,8 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path, table, rows):
     i, payload = order(1, "Ann", [("p1", "x")])
     text = table("object_id string, p string", [(i, json.dumps(payload))])
     messages = text.select("object_id", F.from_json("p", PAYLOAD).alias("payload"), F.lit("2024-01-01").cast("timestamp_ntz").alias("load_dt"))
-    batch = load_vault(str(tmp_path))
-    for _ in range(2):
-        batch(messages, 4)
-    assert read_batches(spark, f"{tmp_path}/h_user").count() == 1
+    batch = load_vault(str(tmp_path), buckets=2)
+    for number in (4, 4, 3, 5):
+        batch(messages, number)
+    assert vault_table(spark, str(tmp_path), "h_user", 2).count() == 1
+    assert [v.version for v in vault_state(spark, str(tmp_path), 2).pointer().versions] == [0, 1]
