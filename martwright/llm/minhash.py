@@ -103,7 +103,7 @@ def parities(ids: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit key of the shingle set, its band keys and parities for each row of ``docs``."""
+    """doc_id, n_shingles, a 128-bit key of the shingle set, its band keys and parities, and a key of the text for each row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
@@ -122,12 +122,14 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                     pa.array(keys, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(bits, pa.list_(pa.int64())),
+                    batch.column("text_key"),
                 ],
-                ["doc_id", "n_shingles", "set_key", "bands", "bits"],
+                ["doc_id", "n_shingles", "set_key", "bands", "bits", "text_key"],
             )
 
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, bits array<long>")
+    text = F.col("text").cast("string")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    return plain.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, bits array<long>, text_key long")
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
@@ -191,6 +193,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     kept. Rows that repeat a doc_id share its component if their texts agree.
     Empty tables give no rows; other columns are ignored.
     """
+    return _verdicts(docs, percent, size).drop("text_key")
+
+
+def _verdicts(docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """``near_duplicates`` with the key of each row's text."""
     spark = docs.sparkSession
     prune_with_bloom(spark)
     signed = land(signatures(docs, size))
@@ -203,6 +210,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         "doc_id",
         "n_shingles",
         F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.least("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "text_key",
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -269,6 +277,10 @@ def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """Rows of ``docs`` that are the first of their component, all columns as they were."""
-    dropped = land(near_duplicates(docs, percent, size).where("not kept").select("doc_id").distinct())
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """Rows of ``docs`` that are the first of their component, all columns as they were.
+
+    Rows that repeat a doc_id are judged by their own texts; rows with the same doc_id and text go or stay together.
+    """
+    dropped = land(_verdicts(docs, percent, size).where("not kept").select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__text")).distinct())
+    same = (F.col("doc_id").cast("long") == F.col("__doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__text"))
+    return docs.join(dropped, same, "left_anti").select(docs.columns)

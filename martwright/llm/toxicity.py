@@ -14,18 +14,22 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"[^\W_]+")
+LINE = re.compile(r"[^\n]+")
 # Bound of the training sample: labelled documents of each class. Each class is weighted to its true count.
 SAMPLE = {1: 2000, 0: 3000}
+# And bytes of each class, so that long documents don't make it larger.
+SAMPLE_BYTES = 8 << 20
 FEATURES = 1 << 18
 # Lines of the sample that the chain is trained on, spread evenly; each stands for as many as were left out.
 MAX_LINES = 20_000
@@ -79,38 +83,61 @@ class Chain:
         return 1.0 / (1.0 + math.exp(max(-30.0, min(30.0, -z))))
 
 
-def _labelled_lines(texts: list[str], toxic: list[int], by_class: dict[int, float]) -> list[tuple[list[str], list[int], float]]:
-    """Words, token labels and weight of lines."""
-    counts = {0: Counter(), 1: Counter()}
-    for text, label in zip(texts, toxic, strict=True):
-        counts[label].update({s for w in set(TOKEN.findall(text.lower())) for s in _stems(w)})
+def _marking(texts: list[str], toxic: list[int]) -> set[str]:
+    """Words and beginnings that are far more frequent in toxic texts than in clean ones."""
+
+    def count(label: int, only: set[str] | None) -> Counter:
+        counts: Counter = Counter()
+        for text, kind in zip(texts, toxic, strict=True):
+            if kind == label:
+                stems = {s for w in set(map(str.lower, TOKEN.findall(text))) for s in _stems(w)}
+                counts.update(stems if only is None else stems & only)
+        return counts
+
+    often = {s: c for s, c in count(1, None).items() if c >= 4}
+    clean = count(0, set(often))
     n1, n0 = sum(toxic), len(toxic) - sum(toxic)
-    marking = {
-        s
-        for s, c in counts[1].items()
-        if c >= 4 and math.log((c + 0.5) / (n1 + 1)) - math.log((counts[0][s] + 0.5) / (n0 + 1)) > 3.0
-    }
-    lines = []
-    for text, label in zip(texts, toxic, strict=True):
-        for line in text.lower().split("\n"):
-            words = TOKEN.findall(line)
-            if words:
-                marks = [int(bool(label) and any(s in marking for s in _stems(w))) for w in words]
-                lines.append((words, marks, by_class[label]))
-    marked = [x for x in lines if any(x[1])]
-    plain = [x for x in lines if not any(x[1])]
-    # Lines with toxic tokens have the room that is free, and half of it at least.
-    room = max(MAX_LINES // 2, MAX_LINES - len(plain))
-    chosen = _spread(marked, room)
-    return chosen + _spread(plain, MAX_LINES - len(chosen))
+    return {s for s, c in often.items() if math.log((c + 0.5) / (n1 + 1)) - math.log((clean[s] + 0.5) / (n0 + 1)) > 3.0}
+
+
+def _labelled_lines(
+    texts: list[str], toxic: list[int], by_class: dict[int, float]
+) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, list[str]]:
+    """Word numbers, token labels and weight of the lines to train on, and the words by number.
 
+    Lines are chosen by their places; only the words of chosen lines are kept, as numbers.
+    """
+    marking = _marking(texts, toxic)
+
+    def is_marked(word: str) -> bool:
+        return any(s in marking for s in _stems(word))
 
-def _spread(lines: list[tuple[list[str], list[int], float]], limit: int) -> list[tuple[list[str], list[int], float]]:
+    marked, plain = array("q"), array("q")  # text, start and end of each line with words
+    for i, (text, label) in enumerate(zip(texts, toxic, strict=True)):
+        for line in LINE.finditer(text):
+            if TOKEN.search(text, line.start(), line.end()):
+                some = label and any(is_marked(w.lower()) for w in TOKEN.findall(line[0]))
+                (marked if some else plain).extend((i, line.start(), line.end()))
+    # Lines with toxic tokens have the room that is free, and half of it at least.
+    room = max(MAX_LINES // 2, MAX_LINES - len(plain) // 3)
+    chosen = _spread(marked, room)
+    chosen += _spread(plain, MAX_LINES - len(chosen))
+    numbers: dict[str, int] = {}
+    words, marks, weights = [], [], []
+    for i, start, end, more in chosen:
+        found = [w.lower() for w in TOKEN.findall(texts[i][start:end])]
+        words.append(np.array([numbers.setdefault(w, len(numbers)) for w in found], np.int32))
+        marks.append(np.array([bool(toxic[i]) and is_marked(w) for w in found], np.int8))
+        weights.append(by_class[toxic[i]] * more)
+    return words, marks, np.array(weights), list(numbers)
+
+
+def _spread(places: array, limit: int) -> list[tuple[int, int, int, float]]:
     """At most ``limit`` lines at even distances, weighted so that they stand for all."""
-    if len(lines) <= limit:
-        return lines
-    more = len(lines) / limit
-    return [(words, marks, weight * more) for words, marks, weight in (lines[int((i + 0.5) * more)] for i in range(limit))]
+    count = len(places) // 3
+    more = max(1.0, count / max(1, limit))
+    at = [int((i + 0.5) * more) for i in range(min(count, limit))] if count > limit else range(count)
+    return [(*places[3 * k : 3 * k + 3], more) for k in at]
 
 
 def _class_weights(toxic: list[int], totals: dict[int, int] | None) -> dict[int, float]:
@@ -136,20 +163,20 @@ def fit(
         share = (sum(toxic) + 0.5) / (len(toxic) + 1)
         return Chain(np.zeros(FEATURES, np.float32), np.zeros((2, 2)), (math.log(share / (1 - share)), 0.0, 0.0))
     by_class = _class_weights(toxic, totals)
-    lines = _labelled_lines(texts, toxic, by_class)
-    lines.sort(key=lambda x: -len(x[0]))
-    vocabulary: dict[str, int] = {}
-    ids = [[vocabulary.setdefault(w, len(vocabulary)) for w in words] for words, _, _ in lines]
-    lists = [features(w) for w in vocabulary]
-    flat = np.array([f for x in lists for f in x], np.int64)
-    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    ids, marks, weight, vocabulary = _labelled_lines(texts, toxic, by_class)
+    longest = sorted(range(len(ids)), key=lambda i: -len(ids[i]))
+    ids, marks, weight = [ids[i] for i in longest], [marks[i] for i in longest], weight[longest]
+    lists = [np.array(features(w), np.int32) for w in vocabulary]
+    flat = np.concatenate(lists)
+    owner = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
     # One column per line, longest first: at step t only the first alive[t] lines go on.
     lengths = np.array([len(x) for x in ids])
     steps = int(lengths[0])
     alive = [int((lengths > t).sum()) for t in range(steps)]
     token = [np.array([ids[i][t] for i in range(alive[t])]) for t in range(steps)]
-    truth = [np.array([lines[i][1][t] for i in range(alive[t])]) for t in range(steps)]
-    weight = np.array([x[2] for x in lines])
+    truth = [np.array([marks[i][t] for i in range(alive[t])]) for t in range(steps)]
+    n_words = len(vocabulary)
+    del ids, marks, lists, vocabulary
     n_tokens = float((lengths * weight).sum())
     counts = np.zeros((2, 2))
     for t in range(1, steps):
@@ -161,9 +188,9 @@ def fit(
     grads = np.zeros(FEATURES) + 1e-8
     tokens, truths, heavy = np.concatenate(token), np.concatenate(truth), np.concatenate([weight[:n] for n in alive])
     for _ in range(epochs):
-        node = np.bincount(owner, weights[flat], len(lists)).clip(-30, 30)
+        node = np.bincount(owner, weights[flat], n_words).clip(-30, 30)
         marginals, pairs = _batch_marginals(np.exp(moves), [np.exp(node[x]) for x in token], alive, weight)
-        per_word = np.bincount(tokens, heavy * (np.concatenate(marginals) - truths), len(lists))
+        per_word = np.bincount(tokens, heavy * (np.concatenate(marginals) - truths), n_words)
         gradient = np.bincount(flat, per_word[owner], FEATURES) / n_tokens + decay * weights
         grads += gradient**2
         weights -= rate * gradient / np.sqrt(grads)
@@ -171,10 +198,12 @@ def fit(
         move_grads += gradient**2
         moves -= rate * gradient / np.sqrt(move_grads)
     chain = Chain(weights.astype(np.float32), moves, (0.0, 1.0, 0.0))
-    cache = {w: chain.potential(w) for w in vocabulary}
+    cache: dict[str, float] = {}
     seen = []
     for text in texts:
-        m = chain.marginals([cache.get(w) or cache.setdefault(w, chain.potential(w)) for w in TOKEN.findall(text.lower())])
+        if len(cache) > CACHE // 4:
+            cache.clear()
+        m = chain.marginals([cache.get(w) or cache.setdefault(w, chain.potential(w.lower())) for w in TOKEN.findall(text)])
         seen.append((1.0, math.log(1e-4 + sum(m)), max(m, default=0.0)))
     chain.calibration = tuple(_logistic(np.array(seen), np.array(toxic, float), np.array([by_class[t] for t in toxic])))
     return chain
@@ -231,22 +260,33 @@ def class_totals(docs: DataFrame, labels: DataFrame) -> dict[int, int]:
     return {r["toxic"]: r["n"] for r in counted.collect()}
 
 
-def sample(docs: DataFrame, labels: DataFrame, limits: dict[int, int] = SAMPLE) -> tuple[list[str], list[int]]:
-    """Texts and labels of at most ``limits`` documents per class, in the order of a hash of their ids."""
+def sample(docs: DataFrame, labels: DataFrame, limits: dict[int, int] = SAMPLE, size: int = SAMPLE_BYTES) -> tuple[list[str], list[int]]:
+    """Texts and labels of at most ``limits`` documents and ``size`` bytes per class, in the order of a hash of their ids."""
     labelled = _labelled(labels)
     texts, toxic = [], []
     for label, limit in limits.items():
-        # The bound keeps the broadcast and the collected texts small.
+        # The bounds keep the broadcasts and the collected texts small.
         chosen = labelled.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-        found = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id").where("text is not null").limit(2 * limit)
-        rows = found.toPandas().sort_values(["doc_id", "text"])
-        texts += rows["text"].tolist()
-        toxic += [label] * len(rows)
+        rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
+        found = rows.join(F.broadcast(chosen.select("doc_id")), "doc_id").select(
+            F.xxhash64("doc_id").alias("place"), "doc_id", F.xxhash64("text").alias("text_key"), F.octet_length("text").cast("long").alias("bytes")
+        )
+        order = ["place", "doc_id", "text_key"]
+        first = found.orderBy(*order).limit(limit)
+        room = F.sum("bytes").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+        taken = first.withColumn("room", room).where(F.col("room") <= size).select("doc_id", "text_key").distinct()
+        kept = rows.withColumn("text_key", F.xxhash64("text")).join(F.broadcast(taken), ["doc_id", "text_key"]).select("doc_id", "text").distinct()
+        got = [r.text for r in kept.sort("doc_id", "text").collect()]
+        texts += got
+        toxic += [label] * len(got)
     return texts, toxic
 
 
 def train(docs: DataFrame, labels: DataFrame, limits: dict[int, int] = SAMPLE) -> Chain:
-    """A chain from labelled documents that are not held out, with the classes in the ratio of all of them."""
+    """A chain from labelled documents that are not held out, with the classes in the ratio of all of them.
+
+    Rows that repeat a document with its text are one in the sample.
+    """
     return fit(*sample(docs, labels, limits), class_totals(docs, labels))
 
 

@@ -322,12 +322,17 @@ def test_toxic_verdicts_do_not_hang_on_the_sample_limits(spark):
         assert bound[i].predicted == free[i].predicted and bound[i].score == pytest.approx(free[i].score, abs=0.1)
 
 
+def _chain_lines(texts, toxic):
+    words, marks, weights, vocabulary = toxicity._labelled_lines(texts, toxic, {0: 1.0, 1: 1.0})
+    return [([vocabulary[i] for i in w], m.tolist(), weight) for w, m, weight in zip(words, marks, weights, strict=True)]
+
+
 @pytest.mark.parametrize("marked, plain", [(40, 70), (300, 200), (300, 20), (20, 300)])
 def test_lines_of_the_toxic_chain_come_from_the_whole_sample(monkeypatch, marked, plain):
     monkeypatch.setattr(toxicity, "MAX_LINES", 100)
     texts = [f"nasty t{i}" for i in range(marked)] + [f"fine c{i}" for i in range(plain)]
     toxic = [1] * marked + [0] * plain
-    lines = toxicity._labelled_lines(texts, toxic, {0: 1.0, 1: 1.0})
+    lines = _chain_lines(texts, toxic)
     assert len(lines) == min(100, marked + plain)
     for mark, total in (("t", marked), ("c", plain)):
         picked = [(int(words[1][1:]), weight) for words, _, weight in lines if words[1][0] == mark]
@@ -396,7 +401,7 @@ def test_transitions_of_the_chain_are_trained():
         toxic.append(int(i % 30 == 0))
     chain = toxicity.fit(texts, toxic, epochs=200)
     observed = np.array([[0.0, 0.0], [0.0, 0.0]])
-    lines = toxicity._labelled_lines(texts, toxic, {0: 1.0, 1: 1.0})
+    lines = _chain_lines(texts, toxic)
     for _, marks, weight in lines:
         for step in zip(marks, marks[1:]):
             observed[step] += weight
