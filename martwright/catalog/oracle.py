@@ -205,6 +205,17 @@ def _retention(strict: bool) -> str:
 ORACLE["customer_retention"] = _with("user_order_log", _retention(False))
 ORACLE["customer_retention_strict"] = _with("user_order_log", _retention(True))
 
+
+def _retention_by_order(strict: bool) -> str:
+    """Orders as customers."""
+    orders = ", by_order as (select * replace ((id % 1000000000000) // 8 as customer_id) from user_order_log)"
+    return _with("user_order_log", orders + _retention(strict).replace("from user_order_log)", "from by_order)"))
+
+
+ORACLE["customer_retention_by_order"] = _retention_by_order(False)
+ORACLE["customer_retention_strict_by_order"] = _retention_by_order(True)
+ORACLE["customer_retention_loaded"] = ORACLE["customer_retention_by_order"]
+
 # Couriers
 
 ORACLE["dim_couriers"] = _with(

@@ -18,6 +18,7 @@ from martwright.operators import (
     having,
     insert_new,
     newer_than,
+    period_rank,
     profile,
     quality_report,
     upsert,
@@ -32,6 +33,7 @@ from martwright.plans import retention as re
 from martwright.plans import rfm
 from martwright.plans import shipping as sh
 from martwright.plans import vault as va
+from martwright.plans.retention_load import RetentionMart
 from martwright.session import materialize, shared_dir
 from martwright.sources import (
     append,
@@ -248,6 +250,33 @@ def customer_retention_strict(t: Inputs) -> DataFrame:
     return re.customer_retention(_sales(t), _days(t), strict=True)
 
 
+def _log_by_order(t: Inputs) -> DataFrame:
+    """The order log with orders as customers, so that some buy once and some more often."""
+    return re.prepare_order_log(t.user_order_log.withColumn("customer_id", F.expr("(id % 1000000000000) div 8")))
+
+
+@query
+def customer_retention_by_order(t: Inputs) -> DataFrame:
+    return re.customer_retention(materialize(re.fact_sales(_log_by_order(t), _days(t))), _days(t))
+
+
+@query
+def customer_retention_strict_by_order(t: Inputs) -> DataFrame:
+    return re.customer_retention(materialize(re.fact_sales(_log_by_order(t), _days(t))), _days(t), strict=True)
+
+
+@query
+def customer_retention_loaded(t: Inputs) -> DataFrame:
+    """The same from three increments that split customers and weeks; some come twice. Published by week."""
+    log, days, out = materialize(_log_by_order(t)), _days(t), fresh_folder(t.spark, "retention")
+    mart = RetentionMart(t.spark, f"{out}/state", buckets=4)
+    touched = set()
+    for part in (0, 1, 0, 2, 2):
+        touched.update(mart.load(re.fact_sales(log.where(F.col("id") % 3 == part), days), days, part))
+    mart.publish(f"{out}/mart", sorted(touched))
+    return period_rank(materialize(t.spark.read.parquet(f"{out}/mart")), "period_name", "period_id")
+
+
 @query
 def fact_sales_reloaded(t: Inputs) -> DataFrame:
     """A month loaded twice into the fact table leaves its rows once."""

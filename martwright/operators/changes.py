@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.operators.joins import broadcast_if_small
@@ -33,36 +33,48 @@ def previous_value(
     tie: Sequence[str],
     values: Sequence[str],
     hot: DataFrame | str | None = CHECK,
-    every: str = "minute",
 ) -> DataFrame:
     """Add ``prev_<value>`` from the preceding row of the key, NULL for the first row.
 
-    ``hot`` is the result of ``hot_keys``; by default it is looked up here.
-    Rows of a hot key are cut into time slices that are
-    sorted by separate tasks; only the first row of a slice looks at the slice
-    before it, and there is one such row per slice.
+    ``hot`` is the result of ``hot_keys``; by default it is looked up here. Rows of
+    hot keys are scanned in segments: ranges of key, time and tie that are about
+    equally long, however few keys or times there are.
     """
     if isinstance(hot, str):
         hot = hot_keys(df, key)
     packed = F.struct(*values)
     named = [F.col(f"__prev.{v}").alias(f"prev_{v}") for v in values]
-    if hot is None:
+
+    def plain(rows: DataFrame) -> DataFrame:
         order = Window.partitionBy(key).orderBy(ts, *tie)
-        return df.withColumn("__prev", F.lag(packed).over(order)).select(*df.columns, *named)
+        return rows.withColumn("__prev", F.lag(packed).over(order)).select(*df.columns, *named)
 
+    if hot is None:
+        return plain(df)
     # The hot keys have been written, so their measure is one cheap pass.
-    marks = broadcast_if_small(hot.select(key).withColumn("__hot", F.lit(True)))
-    sliced = df.join(marks, key, "left").withColumn("__slice", F.when(F.col("__hot"), F.date_trunc(every, F.col(ts))))
-    order = Window.partitionBy(key, "__slice").orderBy(ts, *tie)
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    marked = (
-        sliced.withColumn("__n", F.row_number().over(order))
-        .withColumn("__prev", F.lag(packed).over(order))
-        .withColumn("__tail", F.last(packed).over(whole))
-    )
-    slices = Window.partitionBy(key).orderBy("__slice")
-    heads = marked.where("__n = 1").withColumn("__prev", F.lag("__tail").over(slices))
-    return marked.where("__n > 1").unionByName(heads).select(*df.columns, *named)
+    marks = broadcast_if_small(hot.select(F.col(key).alias("__key")))
+    is_hot = F.col(key).eqNullSafe(F.col("__key"))
+    crowded = _segment_scan(df.join(marks, is_hot, "left_semi"), key, [ts, *tie], packed)
+    return plain(df.join(marks, is_hot, "left_anti")).unionByName(crowded.select(*df.columns, *named))
+
+
+def _segment_scan(df: DataFrame, key: str, order: Sequence[str], packed: Column) -> DataFrame:
+    """``__prev`` (the preceding row's ``packed``) by sorted ranges whose last rows are carried over.
+
+    Rows that are equal in all of ``order`` are told apart by a hash and a running
+    number, so that they can be cut anywhere too.
+    """
+    sort = [key, *order, "__hash", "__number"]
+    numbered = df.withColumn("__hash", F.xxhash64(*df.columns)).withColumn("__number", F.monotonically_increasing_id())
+    # Written once, as a second sampling of the ranges would cut them elsewhere.
+    cut = materialize(numbered.repartitionByRange(*sort).withColumn("__segment", F.spark_partition_id()))
+    row = F.struct(F.col(key).alias("key"), packed.alias("row"))
+    # One row per segment: the last row of the segment before it.
+    tails = cut.groupBy("__segment").agg(F.max_by(row, F.struct(*sort)).alias("tail"))
+    carried = tails.select("__segment", F.lag("tail").over(Window.orderBy("__segment")).alias("__carried"))
+    local = cut.withColumn("__before", F.lag(row).over(Window.partitionBy("__segment").orderBy(*sort)))
+    joined = local.join(F.broadcast(carried), "__segment").withColumn("__before", F.coalesce("__before", "__carried"))
+    return joined.withColumn("__prev", F.when(F.col("__before.key").eqNullSafe(F.col(key)), F.col("__before.row")))
 
 
 def change_points(

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from martwright import operators as op
+from martwright.operators.changes import _segment_scan
 
 
 @pytest.mark.parametrize("n_rows", [0, 1, 3, 5, 7, 1003])
@@ -98,6 +99,33 @@ def test_previous_value_equals_lag_for_a_hot_key(spark, rows):
         assert rows(got, "id", "prev_v") == rows(expected, "id", "prev_v")
 
 
+def test_previous_value_of_one_key_at_one_time(spark, rows):
+    """All rows have one key and one timestamp: no task holds them all, and the plain lag comes out."""
+    df = spark.range(20_000).select(
+        F.lit(7).alias("k"), F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("ts"), F.col("id").alias("n"), (F.col("id") * 7 % 13).alias("v")
+    )
+    more = spark.range(30).select((F.col("id") % 3).cast("int").alias("k"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.col("id").alias("n"), F.col("id").alias("v"))
+    df = df.unionByName(more).repartition(5)
+    hot = spark.createDataFrame([(7,), (2,)], "k int")
+    found = op.previous_value(df, "k", "ts", ["n"], ["v"], hot)
+    assert rows(found) == rows(op.previous_value(df, "k", "ts", ["n"], ["v"], None))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        scan = _segment_scan(df, "k", ["ts", "n"], F.struct("v"))
+        longest = scan.groupBy("__segment").count().agg(F.max("count")).first()[0]
+        assert rows(scan.where("k = 7").select("n", "v", "__prev.v").toDF("n", "v", "p")) == rows(
+            op.previous_value(df, "k", "ts", ["n"], ["v"], None).where("k = 7").select("n", "v", "prev_v")
+        )
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert longest < 20_000 * 0.6
+    # Rows that are equal in everything are cut too.
+    same = spark.range(5_000).select(F.lit(1).alias("k"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(3).alias("v")).repartition(4)
+    linked = op.previous_value(same, "k", "ts", [], ["v"], spark.createDataFrame([(1,)], "k int"))
+    assert linked.where("prev_v is null").count() == 1 and linked.count() == 5_000
+
+
+
 def test_change_points(table, rows):
     day = [datetime(2024, 1, d) for d in range(1, 6)]
     df = table("k int, ts timestamp_ntz, v string", [(1, day[0], "a"), (1, day[1], "a"), (1, day[2], "b"), (1, day[3], "a"), (2, day[0], "z")])

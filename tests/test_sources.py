@@ -136,3 +136,25 @@ def test_stated_periods_without_rows_are_cleared(spark, tmp_path):
     so.replace_period(df, path, ["p"])
     so.replace_period(df.where("n = 1").withColumn("n", F.lit(9)), path, ["p"], [("a",), ("b",)])
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(3, "c"), (9, "a")]
+
+
+def test_files_of_different_headers_side_by_side(spark, tmp_path, rows):
+    head = "id,date_time,city_id,city_name,customer_id,first_name,last_name,item_id,item_name,quantity,payment_amount"
+    old = "\n".join(f"{i},2024-01-01 10:00:00,5,c,7,f,l,3,i,2,1.50" for i in range(1, 200))
+    write(tmp_path / "in" / "a.csv", f"{head}\n{old}\n")
+    write(tmp_path / "in" / "sub" / "b.csv", f"status,{head}\nrefunded,200,2024-01-02 10:00:00,5,c,7,f,l,3,i,2,2.50\n")
+    write(tmp_path / "in" / "empty.csv", "")
+    write(tmp_path / "in" / "only_header.csv", f"{head},status,more\n")
+    found = so.read_order_log_csv(spark, str(tmp_path / "in"))
+    assert found.columns == so.ORDER_LOG.fieldNames() if hasattr(so, "ORDER_LOG") else len(found.columns) == 12
+    assert rows(found.where("status is not null"), "id", "payment_amount", "status") == [(200, D("2.50"), "refunded")]
+    assert found.count() == 200 and found.where("city_name = 'c' and quantity = 2").count() == 200
+
+
+def test_stated_periods_without_rows_are_cleared(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    data = [(1, datetime(2024, 1, 1, 10, 30), "a b"), (2, datetime(2024, 1, 2, 11, 45), "a=b"), (3, datetime(2024, 1, 3), "c")]
+    df = spark.createDataFrame(data, "id int, at timestamp_ntz, name string")
+    so.replace_period(df, path, ["at", "name"])
+    so.replace_period(df.where("id = 3").withColumn("id", F.lit(9)), path, ["at", "name"], [(at, name) for _, at, name in data[1:]])
+    assert rows(spark.read.parquet(path), "id") == [(1,), (9,)]
