@@ -51,7 +51,7 @@ from martwright.operators.ranking import (
     top,
 )
 from martwright.operators.rows import count_flags, dedupe, distinct_rows, first_by, milestone, ordered_list
-from martwright.operators.spatial import grid_join, nearest
+from martwright.operators.spatial import close_pairs, grid_join, nearest, sharing_pairs
 
 __all__ = [
     "active_at",
@@ -67,6 +67,7 @@ __all__ = [
     "fill_zero",
     "first_by",
     "full",
+    "close_pairs",
     "grid_join",
     "having",
     "high_water",
@@ -79,6 +80,7 @@ __all__ = [
     "lookup",
     "milestone",
     "nearest",
+    "sharing_pairs",
     "new_members",
     "newer_than",
     "not_null",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions import EARTH_RADIUS_KM
-from martwright.operators.joins import broadcast_if_small
+from martwright.operators.joins import broadcast_if_small, exclude
 from martwright.session import land, materialize
 
 # Cells with more rows than this are split into pieces that are joined by separate tasks.
@@ -128,6 +128,64 @@ def _pairs_within(a, b, km, same, a_at, b_at, hot_rows=HOT_CELL_ROWS) -> DataFra
     return met.withColumn("distance_km", _chord_km(F.col("__square"))).where(F.col("distance_km") <= km)
 
 
+def sharing_pairs(
+    left: DataFrame, right: DataFrame, members: DataFrame, person: str, tag: str, cell: Sequence[str], hot_rows: int = HOT_CELL_ROWS
+) -> DataFrame:
+    """Distinct (<person>_left, <person>_right, *cell) of people with places in a cell who share a tag.
+
+    People meet through the inverted list of (cell, tag), so people without a common
+    tag never meet, however crowded the cell is. A list that is too long for a
+    task is cut into pieces like a crowded cell.
+    """
+    keys = [*cell, tag]
+    sides = [materialize(df.select(person, *cell).distinct().join(members, person).select(person, *keys)) for df in (left, right)]
+    one, two = (df.withColumnRenamed(person, f"{person}_{side}") for df, side in zip(sides, ("left", "right"), strict=True))
+    crowd = _crowded(one, keys, hot_rows).unionByName(_crowded(two, keys, hot_rows))
+    hot = materialize(crowd.groupBy(*keys).agg(F.ceil(F.max("__n") / hot_rows).cast("int").alias("__k")))
+    if not hot.isEmpty():
+        one = _pieces(one, hot, keys, [f"{person}_left"], "__piece_a", "__piece_b")
+        two = _pieces(two, hot, keys, [f"{person}_right"], "__piece_b", "__piece_a")
+        keys = [*keys, "__piece_a", "__piece_b"]
+    met = one.join(two, keys).where(F.col(f"{person}_left") < F.col(f"{person}_right"))
+    return met.select(f"{person}_left", f"{person}_right", *cell).distinct()
+
+
+def close_pairs(
+    spots: DataFrame,
+    members: DataFrame,
+    km: float,
+    person: str,
+    tag: str,
+    same: Sequence[str] = (),
+    at: tuple[str, str] = ("lat", "lon"),
+    without: DataFrame | None = None,
+    hot_rows: int = HOT_CELL_ROWS,
+) -> DataFrame:
+    """Spots of two people within ``km`` who agree on ``same`` and share a tag, with ``distance_km``.
+
+    ``members`` has the tags of each person, ``without`` pairs (<person>_left,
+    <person>_right) to leave out. Pairs of people are found and reduced before any
+    distance is taken. Rows have the columns of the left person's spot, whose
+    person is the smaller one, and <person>_right.
+    """
+    grid = _Grid(km)
+    lat, lon = F.col(at[0]), F.col(at[1])
+    spots = materialize(spots.dropna(subset=[person, *at]))
+    placed = spots.withColumn("__band", grid.band(lat)).withColumn("__cell", grid.own_cell(lon, grid.cells_in(F.col("__band"))))
+    reach = spots.select(person, *same, *at, F.explode(grid.searched_cells(lat, lon)).alias("__at"))
+    reach = reach.withColumn("__band", F.col("__at.__band")).withColumn("__cell", F.col("__at.__cell")).drop("__at")
+    cell = [*same, "__band", "__cell"]
+    pairs = sharing_pairs(placed, reach, members, person, tag, cell, hot_rows)
+    if without is not None:
+        pairs = exclude(pairs, without, [f"{person}_left", f"{person}_right"])
+    one = _with_vector(placed, at, "__a").withColumnRenamed(person, f"{person}_left")
+    two = _with_vector(reach, at, "__b").withColumnRenamed(person, f"{person}_right").drop(*at)
+    met = pairs.join(one, [f"{person}_left", *cell]).join(two, [f"{person}_right", *cell])
+    met = met.withColumn("__square", sum(_square(F.col(f"__a{i}") - F.col(f"__b{i}")) for i in "xyz")).where(F.col("__square") <= grid.square_chord)
+    met = met.withColumn("distance_km", _chord_km(F.col("__square"))).where(F.col("distance_km") <= km)
+    return met.select(*(c if c != person else f"{person}_left" for c in spots.columns), f"{person}_right", "distance_km")
+
+
 def _with_vector(df: DataFrame, at: tuple[str, str], name: str) -> DataFrame:
     """Add the unit vector of a position as ``<name>x``, ``<name>y`` and ``<name>z``."""
     phi, lam = F.radians(F.col(at[0])), F.radians(F.col(at[1]))

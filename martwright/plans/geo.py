@@ -12,11 +12,10 @@ from martwright.functions import local_time
 from martwright.operators import (
     change_points,
     count_flags,
-    exclude,
     fill_zero,
     first_by,
     full,
-    grid_join,
+    close_pairs,
     hot_keys,
     nearest,
     ordered_list,
@@ -217,58 +216,32 @@ def participants(located: DataFrame) -> DataFrame:
     )
 
 
-def share_member(pairs: DataFrame, membership: DataFrame) -> DataFrame:
-    """Pairs whose two users have a channel in common."""
-    left_side = membership.select(F.col("user_id").alias("user_left"), "channel_id")
-    right_side = membership.select(F.col("user_id").alias("user_right"), "channel_id")
-    common = pairs.select("user_left", "user_right").join(left_side, "user_left")
-    common = common.join(right_side, ["user_right", "channel_id"], "left_semi")
-    return pairs.join(common.select("user_left", "user_right").distinct(), ["user_left", "user_right"], "left_semi")
-
-
-def _channels_are_narrow(membership: DataFrame) -> bool:
-    """Whether meeting channel by channel pays: few channels per user, and each with few of the users."""
-    sizes = membership.groupBy("channel_id").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    total = sizes.agg(F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("n")).alias("pairs")).first()
-    people = membership.agg(F.approx_count_distinct("user_id")).first()[0]
-    return total["rows"] is not None and total["rows"] <= 2 * people and 8 * total["pairs"] <= people**2
-
-
 def recommend_friends(
     located: DataFrame,
     km: float = 1.0,
     zones: Mapping[str, str] = CITY_ZONES,
     default_zone: str = DEFAULT_ZONE,
     processed: str | None = None,
-    by_channel: bool | None = None,
 ) -> DataFrame:
     """Pairs who were within ``km`` on one day, never wrote to each other and share a channel.
 
     Each pair comes once (lower id left) with zone and local time of its
-    closest meeting. Positions meet through grid cells, and only those of
-    users with a channel. Where channels are narrow, positions also meet
-    channel by channel, so users without a common channel never form a pair;
-    else the pairs are checked afterwards. ``by_channel`` overrides the choice,
-    the result is the same. The closest meeting is a minimum that is combined
-    before the shuffle, so meetings of a pair do not pile up.
+    closest meeting. Users meet through the list of (cell, day, channel), so
+    distances are taken only for pairs who share a channel and have not written.
+    The closest meeting is a minimum that is combined before the shuffle, so
+    meetings of a pair do not pile up.
     """
     subscribed = located.where(F.col("event_type") == "subscription").select(
-        F.col("event.user").alias("user_id"), F.col("event.subscription_channel").alias("channel_id")
+        F.col("event.user").alias("user"), F.col("event.subscription_channel").alias("channel_id")
     )
     membership = materialize(subscribed.dropna().distinct())
-    if by_channel is None:
-        by_channel = _channels_are_narrow(membership)
-    same = ["date", "channel_id"] if by_channel else ["date"]
-    if by_channel:
-        spots = materialize(participants(located).join(membership, "user_id"))
-    else:
-        members = membership.select("user_id").distinct()
-        spots = materialize(participants(located).join(members, "user_id", "left_semi"))
-    right = spots.select(
-        F.col("user_id").alias("user_right"), *same, F.col("lat").alias("lat_b"), F.col("lon").alias("lon_b")
-    )
-    met = grid_join(spots.withColumnRenamed("user_id", "user_left"), right, km, same)
-    met = met.where("user_left < user_right")
+    members = membership.select(F.col("user").alias("user_id")).distinct()
+    spots = participants(located).join(members, "user_id", "left_semi").withColumnRenamed("user_id", "user")
+    wrote = located.select(
+        F.least("event.message_from", "event.message_to").alias("user_left"),
+        F.greatest("event.message_from", "event.message_to").alias("user_right"),
+    ).distinct()
+    met = close_pairs(spots, membership, km, "user", "channel_id", ["date"], without=wrote)
     # Distances are compared in millimetres so that rounding noise does not pick the meeting.
     closeness = F.struct(
         F.round(F.col("distance_km") * 1_000_000).cast("long").alias("mm"),
@@ -279,16 +252,7 @@ def recommend_friends(
         "lon",
         "city",
     )
-    pairs = met.groupBy("user_left", "user_right").agg(F.min(closeness).alias("meeting"))
-
-    wrote = located.select(
-        F.least("event.message_from", "event.message_to").alias("user_left"),
-        F.greatest("event.message_from", "event.message_to").alias("user_right"),
-    ).distinct()
-    friends = exclude(pairs, wrote, ["user_left", "user_right"])
-    if not by_channel:
-        # The channel check reads the pairs twice; the pair search must run once.
-        friends = share_member(materialize(friends), membership)
+    friends = met.groupBy("user_left", "user_right").agg(F.min(closeness).alias("meeting"))
     stamp = F.current_timestamp() if processed is None else F.lit(processed)
     return friends.select(
         "user_left",

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from martwright.operators import grid_join, nearest, spatial
+from martwright.operators import close_pairs, grid_join, nearest, sharing_pairs, spatial
 
 
 def km(a, b):
@@ -137,3 +137,30 @@ def test_inline_search_has_no_join_and_no_shuffle(spark):
     places = spark.createDataFrame([(1, "a", 0.0, 1.0), (2, "b", 0.0, 2.0)], "zone int, city string, lat double, lon double")
     plan = nearest(df, places, "zone", ["city"])._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_people_of_a_crowded_cell_meet_by_tag(spark, rows):
+    """3,000 people at one place in pairs of a tag: 1,500 pairs instead of 4.5 million."""
+    spots = spark.range(3000).select(F.col("id").alias("user"), F.lit(0.001).alias("lat"), (F.col("id") % 7 * 0.0001).alias("lon"), F.lit(1).alias("day"))
+    members = spark.range(3000).select(F.col("id").alias("user"), (F.col("id") % 1500).alias("tag"))
+    cells = spots.withColumn("__band", F.lit(0)).withColumn("__cell", F.lit(0))
+    assert sharing_pairs(cells, cells, members, "user", "tag", ["day", "__band", "__cell"]).count() == 1500
+    found = close_pairs(spots, members, 1.0, "user", "tag", ["day"])
+    assert rows(found, "user_left", "user_right") == sorted(((i, i + 1500) for i in range(1500)), key=repr)
+
+
+@pytest.mark.parametrize("hot_rows", [20_000, 5])
+def test_close_pairs_equal_brute_force(spark, rows, hot_rows):
+    r = random.Random(8)
+    spots = [(r.randrange(25), r.choice([0, 1]), r.uniform(-0.02, 0.02), r.choice([179.995, -179.995, 0.0]) + r.uniform(-0.01, 0.01)) for _ in range(150)]
+    spots += [(None, 0, 0.0, 0.0), (3, 0, None, 0.0)]
+    tags = sorted({(r.randrange(25), r.randrange(6)) for _ in range(40)})
+    without = [(1, 2), (3, 9)]
+    df = spark.createDataFrame(spots, "user int, day int, lat double, lon double").distinct()
+    members = spark.createDataFrame(tags, "user int, tag int")
+    found = close_pairs(df, members, 1.0, "user", "tag", ["day"], without=spark.createDataFrame(without, "user_left int, user_right int"), hot_rows=hot_rows)
+    shared = {(a, b) for a, x in tags for b, y in tags if x == y and a < b} - set(without)
+    right = df.toDF("user_right", "day", "lat_b", "lon_b")
+    every = grid_join(df.dropna().withColumnRenamed("user", "user_left"), right.dropna(), 1.0, ["day"])
+    expected = [x for x in rows(every, "user_left", "user_right", "day", "lat", "lon") if x[:2] in shared]
+    assert expected and rows(found, "user_left", "user_right", "day", "lat", "lon") == expected
