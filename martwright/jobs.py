@@ -13,23 +13,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from martwright.plans import geo
+from martwright.functions.dates import previous_month_of
+from martwright.plans import couriers as co
+from martwright.plans import currency as cu
+from martwright.plans import geo, rfm
+from martwright.plans import messenger as me
 from martwright.plans.promotions import TRIGGER_KEY
+from martwright.plans.retention import calendar, fact_sales, prepare_order_log
+from martwright.plans.retention_load import RetentionMart
+from martwright.plans.shipping import shipping_tables
 from martwright.plans.vault import MESSAGE
-from martwright.session import build_session
+from martwright.session import build_session, materialize
 from martwright.sources import (
+    append,
     copy_partitions,
+    full_refresh,
     kafka_options,
     mart_path,
     read_events,
     read_geo_csv,
     read_jdbc,
     read_kafka_stream,
+    read_order_log_csv,
+    replace_period,
     write_jdbc_batch,
     write_kafka,
     write_mart,
     write_partitioned,
 )
+from martwright.sources.folders import has_files
 from martwright.streaming import fan_out, load_counters, load_vault, promotion_outputs, run_stream, send_triggers
 from martwright.streaming.jobs import Sink
 
@@ -60,6 +72,72 @@ def geo_friends(spark: SparkSession, day: str, depth: str, out: str) -> None:
     write_mart(geo.recommend_friends(located), out, "geo_recommend_friends", day, int(depth))
 
 
+def _tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
+    return [spark.read.parquet(f"{folder}/{name}") for name in names]
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table that an earlier load has written, or None."""
+    return spark.read.parquet(path) if has_files(spark, path) else None
+
+
+def scores(spark: SparkSession, tables: str, out: str, since: str) -> None:
+    """Recency, frequency and monetary scores from users, orders, orderitems and orderstatuses."""
+    full_refresh(rfm.rfm_segments(*_tables(spark, tables, "users", "orders", "orderitems", "orderstatuses"), since), f"{out}/rfm_segments")
+
+
+def shipping(spark: SparkSession, log: str, out: str) -> None:
+    """All shipping tables from the shipping log; ids of earlier loads are kept."""
+    known = [_stored(spark, f"{out}/{name}") for name in ("shipping_transfer", "shipping_country_rates")]
+    known = [None if dim is None else materialize(dim) for dim in known]
+    for name, table in shipping_tables(spark.read.parquet(log), *known).items():
+        full_refresh(materialize(table), f"{out}/{name}")
+
+
+def retention(spark: SparkSession, increment: str, out: str, number: str) -> None:
+    """An increment of the order log (files with or without a status) into the weekly retention mart.
+
+    ``number`` counts the increments; one that comes again changes nothing. Only the weeks that it changes are rewritten.
+    """
+    log = materialize(prepare_order_log(read_order_log_csv(spark, increment)))
+    first, last = log.agg(F.min(F.to_date("date_time")), F.max(F.to_date("date_time"))).first()
+    if first is None:
+        return
+    days = calendar(spark, first, last)
+    mart = RetentionMart(spark, f"{out}/state")
+    weeks = mart.load(fact_sales(log, days), days, int(number))
+    if weeks:
+        mart.publish(f"{out}/mart", weeks)
+
+
+def courier_ledger(spark: SparkSession, staging: str, out: str, day: str) -> None:
+    """Courier pay of the month before ``day`` from staged couriers and deliveries, replacing that month."""
+    courier_rows, delivery_rows = _tables(spark, staging, "couriers", "deliveries")
+    known = {name: _stored(spark, f"{out}/{name}") for name in ("dim_couriers", "dim_timestamps")}
+    couriers_dim = materialize(co.with_ids(co.couriers(courier_rows), "courier_id", known["dim_couriers"]))
+    times = materialize(co.with_ids(co.timestamps(delivery_rows), "ts", known["dim_timestamps"]))
+    full_refresh(couriers_dim, f"{out}/dim_couriers")
+    full_refresh(times, f"{out}/dim_timestamps")
+    ledger = co.courier_ledger(co.deliveries(delivery_rows, couriers_dim, times), couriers_dim, times, day)
+    year, month = previous_month_of(day)
+    replace_period(ledger, f"{out}/ledger", ["settlement_year", "settlement_month"], [(year, month)])
+
+
+def messenger(spark: SparkSession, tables: str, out: str) -> None:
+    """New links of users and groups, and their events, from group_log and the hubs users and groups."""
+    log, users, groups = _tables(spark, tables, "group_log", "users", "groups")
+    append(materialize(me.link_user_group(log, users, groups, _stored(spark, f"{out}/link"))), f"{out}/link")
+    link = spark.read.parquet(f"{out}/link")
+    append(materialize(me.sat_auth_history(log, users, groups, link, _stored(spark, f"{out}/auth"))), f"{out}/auth")
+
+
+def currency(spark: SparkSession, tables: str, out: str) -> None:
+    """Turnover per day and currency after the last loaded day, from transactions and currencies."""
+    path = f"{out}/global_metrics"
+    after = cu.high_water_mark(_stored(spark, path))
+    append(materialize(cu.global_metrics(*_tables(spark, tables, "transactions", "currencies"), after=after)), path)
+
+
 def _prefixed(options: Mapping[str, str], prefix: str) -> dict[str, str]:
     return {k.removeprefix(prefix): v for k, v in options.items() if k.startswith(prefix)}
 
@@ -133,7 +211,10 @@ def order_counters(spark: SparkSession, servers: str, source: str, out: str, sta
 
 JOBS = {
     f.__name__: f
-    for f in (copy_events, geo_users, geo_zones, geo_friends, promotions, order_vault, order_counters)
+    for f in (
+        copy_events, geo_users, geo_zones, geo_friends, scores, shipping, retention, courier_ledger, messenger, currency,
+        promotions, order_vault, order_counters,
+    )
 }
 
 

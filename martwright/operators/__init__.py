@@ -41,6 +41,7 @@ from martwright.operators.quality import (
     quality_report,
     references,
     unique,
+    write_checked,
 )
 from martwright.operators.ranking import (
     ntile_score,
@@ -101,6 +102,7 @@ __all__ = [
     "surrogate_id",
     "top",
     "unique",
+    "write_checked",
     "upsert",
     "upsert_add",
     "with_default",

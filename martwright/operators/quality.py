@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.session import land
+
 
 def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
@@ -82,19 +84,65 @@ def quality_report(
     keys: Sequence[Sequence[str]] = (),
     parents: Mapping[str, tuple[DataFrame, Sequence[str]]] | None = None,
 ) -> DataFrame:
-    """Number of violations per rule: one scan for all row rules, one aggregation per key or parent."""
-    row_rules = {f"{c} not null": F.col(c).isNull() for c in not_nulls}
-    row_rules.update({name: ~cond for name, cond in (checks or {}).items()})
-    parts = []
-    if row_rules:
-        names = list(row_rules)
-        counted = df.agg(*[F.count(F.when(row_rules[r], 1)).alias(f"r{i}") for i, r in enumerate(names)])
-        pairs = [F.struct(F.lit(r).alias("rule"), F.col(f"r{i}").alias("violations")) for i, r in enumerate(names)]
-        parts.append(counted.select(F.inline(F.array(*pairs))))
+    """Number of violations per rule; ``df`` is evaluated once.
+
+    Row rules are counted while the columns of keys and parents are written, and
+    those rules read what has been written.
+    """
+    counted, kept = _watched(df, not_nulls, checks, keys, parents)
+    return _report(table, df.sparkSession, counted, kept, keys, parents)
+
+
+def write_checked(
+    table: str,
+    df: DataFrame,
+    write: Callable[[DataFrame], None],
+    read: Callable[[], DataFrame],
+    not_nulls: Sequence[str] = (),
+    checks: Mapping[str, Column] | None = None,
+    keys: Sequence[Sequence[str]] = (),
+    parents: Mapping[str, tuple[DataFrame, Sequence[str]]] | None = None,
+) -> DataFrame:
+    """Write a mart and count the violations of its rules in the same pass; returns ``quality_report``.
+
+    Keys and parents are checked on the written mart, which ``read`` reads.
+    """
+    watched, observation = _observed(df, not_nulls, checks)
+    write(watched)
+    return _report(table, df.sparkSession, observation.get if observation else {}, read(), keys, parents)
+
+
+def _row_rules(not_nulls: Sequence[str], checks: Mapping[str, Column] | None) -> dict[str, Column]:
+    rules = {f"{c} not null": F.col(c).isNull() for c in not_nulls}
+    return rules | {name: ~cond for name, cond in (checks or {}).items()}
+
+
+def _observed(df: DataFrame, not_nulls: Sequence[str], checks: Mapping[str, Column] | None) -> tuple[DataFrame, Observation | None]:
+    rules = _row_rules(not_nulls, checks)
+    if not rules:
+        return df, None
+    observation = Observation()
+    return df.observe(observation, *(F.count_if(broken).alias(rule) for rule, broken in rules.items())), observation
+
+
+def _watched(df, not_nulls, checks, keys, parents) -> tuple[dict[str, int], DataFrame | None]:
+    watched, observation = _observed(df, not_nulls, checks)
+    columns = list(dict.fromkeys(c for key in [*keys, *(key for _, key in (parents or {}).values())] for c in key))
+    if columns:
+        kept = land(watched.select(*columns))
+        return (observation.get if observation else {}), kept
+    if observation is None:
+        return {}, None
+    return df.agg(*(F.count_if(broken).alias(rule) for rule, broken in _row_rules(not_nulls, checks).items())).first().asDict(), None
+
+
+def _report(table: str, spark: SparkSession, counted: Mapping[str, int], kept: DataFrame | None, keys, parents) -> DataFrame:
+    rows = [(rule, int(n or 0)) for rule, n in counted.items()]
+    parts = [spark.createDataFrame(rows, "rule string, violations long")]
     for key in keys:
         name = f"unique ({', '.join(key)})"
-        parts.append(unique(df, key).agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("rule"), "violations"))
+        parts.append(unique(kept, key).agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("rule"), "violations"))
     for name, (parent, key) in (parents or {}).items():
-        found = references(df, parent, key).agg(F.count(F.lit(1)).alias("violations"))
+        found = references(kept, parent, key).agg(F.count(F.lit(1)).alias("violations"))
         parts.append(found.select(F.lit(name).alias("rule"), "violations"))
     return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "rule", "violations")

@@ -12,10 +12,10 @@ from martwright.session import materialize
 RATE = "decimal(14,3)"
 
 
-def country_rates(shipping: DataFrame) -> DataFrame:
-    """Country and base rate with an id."""
+def country_rates(shipping: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Country and base rate with an id; members of an ``existing`` dimension keep theirs."""
     pairs = distinct_rows(shipping, ["shipping_country", "shipping_country_base_rate"])
-    return surrogate_id(pairs, ["shipping_country", "shipping_country_base_rate"], "shipping_country_id")
+    return surrogate_id(pairs, ["shipping_country", "shipping_country_base_rate"], "shipping_country_id", existing)
 
 
 def _agreement_parts(text: str) -> list:
@@ -32,8 +32,8 @@ def agreements(shipping: DataFrame) -> DataFrame:
     return distinct_rows(shipping, _agreement_parts("vendor_agreement_description"))
 
 
-def transfers(shipping: DataFrame) -> DataFrame:
-    """Transfer type, model and rate from ``type:model`` with an id."""
+def transfers(shipping: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Transfer type, model and rate from ``type:model`` with an id; members of an ``existing`` dimension keep theirs."""
     text = "shipping_transfer_description"
     rows = distinct_rows(
         shipping,
@@ -44,7 +44,7 @@ def transfers(shipping: DataFrame) -> DataFrame:
         ],
     )
     keys = ["transfer_type", "transfer_model", "shipping_transfer_rate"]
-    return surrogate_id(rows, keys, "transfer_type_id")
+    return surrogate_id(rows, keys, "transfer_type_id", existing)
 
 
 def shipping_info(shipping: DataFrame, transfer_dim: DataFrame, country_dim: DataFrame) -> DataFrame:
@@ -128,9 +128,11 @@ def shipping_datamart(
     )
 
 
-def shipping_tables(shipping: DataFrame) -> dict[str, DataFrame]:
-    """All tables of the model and the mart."""
-    transfer_dim, country_dim = transfers(shipping), country_rates(shipping)
+def shipping_tables(
+    shipping: DataFrame, known_transfers: DataFrame | None = None, known_rates: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All tables of the model and the mart; ids go on from the known dimensions of an earlier load."""
+    transfer_dim, country_dim = transfers(shipping, known_transfers), country_rates(shipping, known_rates)
     # Used by the size check and by the join: written once so the log is not scanned again.
     agreement_dim = materialize(agreements(shipping))
     info, status = shipping_info(shipping, transfer_dim, country_dim), shipping_status(shipping)
