@@ -225,11 +225,14 @@ def _link(docs: DataFrame, classes: DataFrame, percent: int, size: int) -> DataF
     """node and component of all classes that have a link."""
     spark = docs.sparkSession
     columns = ["bucket", "node", "n", *(f"bits_{i}" for i in range(WORDS))]
-    entries = classes.select(F.explode("bands").alias("bucket"), "node", "n", *(F.col("bits")[i].alias(f"bits_{i}") for i in range(WORDS)))
-    hub = [F.col(f"hub.{c}").alias(f"hub_{c}") for c in columns[1:]]
-    shared = entries.groupBy("bucket").agg(F.min(F.struct(*columns[1:])).alias("hub"), F.max("node").alias("last")).where("hub.node < last").select("bucket", *hub)
+    # Only bucket and node are shuffled for all classes; the rest joins those that share a bucket.
+    entries = classes.select(F.explode("bands").alias("bucket"), "node")
+    shared = entries.groupBy("bucket").agg(F.min("node").alias("hub_node"), F.max("node").alias("last")).where("hub_node < last").select("bucket", "hub_node")
+    facts = classes.select("node", "n", *(F.col("bits")[i].alias(f"bits_{i}") for i in range(WORDS)))
+    of_hub = facts.select(*(F.col(c).alias(f"hub_{c}") for c in facts.columns))
     # The first round: every class is a component of its own, and the first class of a bucket is the hub.
-    members = land(entries.join(shared, "bucket").select(*columns, "hub_node", F.expr(f"node != hub_node and {_possible(percent)}").alias("possible")))
+    met = entries.join(shared, "bucket").join(facts, "node").join(of_hub, "hub_node")
+    members = land(met.select(*columns, "hub_node", F.expr(f"node != hub_node and {_possible(percent)}").alias("possible")))
     # ``n > 0`` holds for all; as a stated condition it lets Spark build the Bloom filter.
     involved = members.where("n > 0").select("node").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).join(involved, "node")
