@@ -48,6 +48,8 @@ class RetentionMart:
         The cells are committed before the sales: whatever is lost between, the same
         increment again finds the sales as they were.
         """
+        if self.sales.has_applied(batch_id):
+            return []
         refunded = F.when(F.col("status") == "refunded", 1).otherwise(0)
         added = materialize(
             lookup(sales, days, ["date_id"], ["week_of_year_iso"])
