@@ -389,6 +389,11 @@ ORACLE["geo_home_city_open"] = _geo(
 )
 ORACLE["geo_user_city"] = _geo("select user_id, act_city, home_city from actual full join home using (user_id)")
 ORACLE["geo_travel"] = _geo("select * from trips")
+ORACLE["geo_travel_parts"] = _geo(
+    """select user_id, (n - 1) // 3 as part, string_agg(city, ',' order by n) as cities
+    from (select *, row_number() over (partition by user_id order by message_ts, message_id) as n from moves where prev_city is not null)
+    group by user_id, (n - 1) // 3"""
+)
 ORACLE["geo_user_mart"] = _geo(
     f"""select user_id, act_city, home_city, coalesce(travel_count, 0) as travel_count, coalesce(travel_array, '') as travel_array,
         {_clock('message_ts', 'act_city')} as local_time

@@ -476,6 +476,11 @@ def geo_travel(t: Inputs) -> DataFrame:
     return ge.travel(_visits(t))
 
 
+@query
+def geo_travel_parts(t: Inputs) -> DataFrame:
+    return ge.travel_parts(_visits(t), size=3)
+
+
 @query
 def geo_user_mart(t: Inputs) -> DataFrame:
     return ge.user_geo(_visits(t), MIN_DAYS, GEO_ZONES)

@@ -44,6 +44,7 @@ from martwright.operators.quality import (
     write_checked,
 )
 from martwright.operators.ranking import (
+    list_parts,
     ntile_score,
     ntile_scores,
     number_rows,
@@ -78,6 +79,7 @@ __all__ = [
     "keep_in",
     "last_days",
     "left",
+    "list_parts",
     "lookup",
     "milestone",
     "nearest",

@@ -75,6 +75,20 @@ def number_rows(
     )
 
 
+def list_parts(
+    df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], name: str, size: int = 10_000, part: str = "part"
+) -> DataFrame:
+    """Values of each key in the given order, in arrays of ``size`` and their number ``part`` from 0.
+
+    Positions come from sorted ranges, so neither a task nor a cell holds a key of
+    many values; readers go on from part to part.
+    """
+    numbered = number_rows(df.select(*dict.fromkeys([*keys, *order, value])), list(order), "__n", list(keys))
+    parted = numbered.withColumn(part, F.floor((F.col("__n") - 1) / size).cast("long"))
+    items = F.array_sort(F.collect_list(F.struct("__n", value)))
+    return parted.groupBy(*keys, part).agg(F.transform(items, lambda item: item[value]).alias(name))
+
+
 def surrogate_id(df: DataFrame, order_cols: Sequence[str], name: str, existing: DataFrame | None = None) -> DataFrame:
     """Ids 1..n for distinct rows, ordered by all their key columns (NULL first).
 

@@ -17,6 +17,7 @@ from martwright.operators import (
     full,
     close_pairs,
     hot_keys,
+    list_parts,
     nearest,
     ordered_list,
     previous_value,
@@ -134,6 +135,13 @@ def travel(visits: DataFrame, hot: DataFrame | str | None = CHECK) -> DataFrame:
     return listed.withColumn("travel_count", F.size("travel_array")).select("user_id", "travel_count", "travel_array")
 
 
+def travel_parts(visits: DataFrame, size: int = 10_000, hot: DataFrame | str | None = CHECK) -> DataFrame:
+    """City changes per user in time order, in parts of at most ``size`` cities, for users of any number of moves."""
+    hot = busy_users(visits) if isinstance(hot, str) else hot
+    moved = _moves(visits, hot).where(F.col("prev_city").isNotNull())
+    return list_parts(moved, ["user_id"], "city", ["message_ts", "message_id"], "cities", size)
+
+
 def user_geo(
     visits: DataFrame,
     min_days: int = 27,

@@ -133,6 +133,17 @@ def test_change_points(table, rows):
     assert len(rows(op.change_points(df, "k", "v", "ts", keep_first=True))) == 4
 
 
+def test_lists_in_parts(spark, rows):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), (-F.col("id")).alias("t"), F.col("id").alias("v")).repartition(4)
+    parts = op.list_parts(df, ["k"], "v", ["t"], "l", size=40)
+    found = {(r.k, r.part): r.l for r in parts.collect()}
+    assert max(map(len, found.values())) == 40
+    for k in range(3):
+        joined = [v for part in range(9) for v in found[k, part]]
+        assert joined == [v for v in range(999, -1, -1) if v % 3 == k]
+    assert rows(op.list_parts(df.limit(0), ["k"], "v", ["t"], "l")) == []
+
+
 def test_ordered_list_and_flags(table, rows):
     df = table("k int, t int, v string", [(1, 2, "b"), (1, 1, "c"), (1, 3, "b")])
     assert rows(op.ordered_list(df, ["k"], "v", ["t"], "l")) == [(1, ["c", "b", "b"])]
