@@ -239,6 +239,8 @@ def _link(docs: DataFrame, classes: DataFrame, percent: int, size: int) -> DataF
     sets = land(_sets(texts, size))
     links = land(_verified(members.where("possible").select(F.col("hub_node").alias("a"), F.col("node").alias("b")).distinct(), sets, percent))
     members = members.where("node != hub_node").select(columns)
+    # 31 bits of each band key tell which bucket of a pair is the first; they agree by chance far less often than bands miss a link.
+    names = land(classes.join(involved, "node", "left_semi").select("node", F.expr("transform(bands, b -> cast(b & 2147483647 as int))").alias("names")))
     labels = spark.createDataFrame([], "node long, component long")
     rounds = 0
     while True:
@@ -256,9 +258,12 @@ def _link(docs: DataFrame, classes: DataFrame, percent: int, size: int) -> DataF
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("size", "node"))
         chosen = placed.withColumn("rank", rank).where(F.col("rank") <= count)
         hubs = land(chosen.select("bucket", *(F.col(c).alias(f"hub_{c}") for c in [*columns[1:], "component"])))
+        # A pair may share many buckets; it counts in the first of them only.
+        first_shared = "get(array_intersect(names, hub_names), 0) = cast(bucket & 2147483647 as int)"
         pairs = (
-            placed.join(hubs, "bucket")
-            .where(f"component != hub_component and {_possible(percent)}")
+            placed.join(names, "node")
+            .join(hubs.join(names.select(F.col("node").alias("hub_node"), F.col("names").alias("hub_names")), "hub_node"), "bucket")
+            .where(f"component != hub_component and {_possible(percent)} and {first_shared}")
             .select(F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b"))
             .distinct()
         )
