@@ -278,3 +278,23 @@ def test_known_members_keep_their_ids(table, rows):
     assert rows(first) == [("b", 2), (None, 1)]
     again = op.surrogate_id(table("k string", [("b",), ("a",), (None,), ("c",)]), ["k"], "id", first)
     assert rows(again) == [("a", 3), ("b", 2), ("c", 4), (None, 1)]
+
+
+def test_rules_are_counted_while_writing(spark, tmp_path, rows):
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame([(1, 5), (1, None), (2, -1), (9, 3)], "id int, v int").coalesce(1).mapInPandas(count, "id int, v int")
+    parent = spark.createDataFrame([(1,), (2,)], "id int")
+    path = str(tmp_path / "mart")
+    report = op.write_checked(
+        "mart", df, lambda rows: rows.write.parquet(path), lambda: spark.read.parquet(path), ["v"], {"v > 0": F.col("v") > 0}, [["id"]], {"known": (parent, ["id"])}
+    )
+    expected = [("mart", "known", 1), ("mart", "unique (id)", 1), ("mart", "v > 0", 1), ("mart", "v not null", 1)]
+    assert rows(report) == expected and runs.value == 4
+    assert rows(op.quality_report("mart", df, ["v"], {"v > 0": F.col("v") > 0}, [["id"]], {"known": (parent, ["id"])})) == expected
+    assert runs.value == 8
