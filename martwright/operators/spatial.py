@@ -180,7 +180,8 @@ def close_pairs(
         pairs = exclude(pairs, without, [f"{person}_left", f"{person}_right"])
     one = _with_vector(placed, at, "__a").withColumnRenamed(person, f"{person}_left")
     two = _with_vector(reach, at, "__b").withColumnRenamed(person, f"{person}_right").drop(*at)
-    met = pairs.join(one, [f"{person}_left", *cell]).join(two, [f"{person}_right", *cell])
+    # Spark guesses both sides from the files they came from, before their rows were repeated per cell, and would send them through the driver.
+    met = pairs.join(one.hint("merge"), [f"{person}_left", *cell]).join(two.hint("merge"), [f"{person}_right", *cell])
     met = met.withColumn("__square", sum(_square(F.col(f"__a{i}") - F.col(f"__b{i}")) for i in "xyz")).where(F.col("__square") <= grid.square_chord)
     met = met.withColumn("distance_km", _chord_km(F.col("__square"))).where(F.col("distance_km") <= km)
     return met.select(*(c if c != person else f"{person}_left" for c in spots.columns), f"{person}_right", "distance_km")

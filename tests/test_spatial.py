@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,3 +165,14 @@ def test_close_pairs_equal_brute_force(spark, rows, hot_rows):
     every = grid_join(df.dropna().withColumnRenamed("user", "user_left"), right.dropna(), 1.0, ["day"])
     expected = [x for x in rows(every, "user_left", "user_right", "day", "lat", "lon") if x[:2] in shared]
     assert expected and rows(found, "user_left", "user_right", "day", "lat", "lon") == expected
+
+
+def test_spots_of_close_pairs_are_never_broadcast(spark):
+    # Their sizes are guessed from before they were repeated per cell.
+    spots = spark.range(2).select(F.col("id").alias("user"), F.lit("a").alias("day"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"))
+    members = spark.range(2).select(F.col("id").alias("user"), F.lit("x").alias("tag"))
+    found = close_pairs(spots, members, 1.0, "user", "tag", ["day"])
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    joins = re.findall(r"(\w*Join) \[user_(?:left|right)#", plan)
+    assert joins == ["SortMergeJoin", "SortMergeJoin"], plan
+    assert found.count() == 1
