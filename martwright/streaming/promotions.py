@@ -17,7 +17,7 @@ from martwright.plans.promotions import (
     feedback_rows,
     trigger_payload,
 )
-from martwright.streaming.jobs import Sink, dedupe_stream, enrich_stream, fan_out
+from martwright.streaming.jobs import Sink, dedupe_stream, enrich_stream, fan_out, first_in_batch
 
 
 def promotion_triggers(
@@ -52,7 +52,9 @@ def _triggers(campaigns: DataFrame, subscribers: DataFrame, now: str | datetime
     if "timestamp" not in active.columns:
         active = active.withColumn("timestamp", F.current_timestamp())
     clients = subscribers.select("restaurant_id", "client_id").distinct()
-    joined = enrich_stream(active, clients, ["restaurant_id"])
+    # Repeats within a batch go before the join, or each would be repeated for every client.
+    first = first_in_batch(active, TRIGGER_KEY[:2], "timestamp", [F.lit(0).alias("client_id")])
+    joined = enrich_stream(first, clients, ["restaurant_id"])
     once = dedupe_stream(joined, TRIGGER_KEY, "timestamp", keep, "triggers")
     return once.withColumn("trigger_datetime_created", now_ms(now)).select(*TRIGGER_COLUMNS)
 

@@ -12,7 +12,9 @@ from martwright.plans.vault import explode_products, natural_counter_rows, user_
 from martwright.sources import append_batch, read_batches, stream_new_files
 from martwright.streaming import (
     StreamCounts,
+    dedupe_stream,
     fan_out,
+    first_in_batch,
     load_counters,
     load_vault,
     promotion_outputs,
@@ -112,6 +114,26 @@ def test_state_expires_by_the_clock(promotions):
     assert run("1 second").count(("a", 1)) == 2
 
 
+def test_keys_share_calls_and_state(spark, tmp_path, rows):
+    """2,000 keys that come five times: one state for each group, the least time and text of a key first."""
+    drop(tmp_path / "in", "1.txt", [f"{k},{'' if v == 0 else f'2024-01-0{max(2, v)}'},{9 - v}" for v in range(5) for k in range(2000)])
+    lines = stream_new_files(spark, str(tmp_path / "in"), LINE, "text")
+    parts = F.split("value", ",")
+    stream = dedupe_stream(lines.select(parts[0].alias("k"), parts[1].try_cast("timestamp").alias("at"), parts[2].alias("v")), ["k"], "at", groups=16)
+    query = run_stream(stream, lambda df, n: append_batch(df, str(tmp_path / "out"), n), str(tmp_path / "state"))
+    query.awaitTermination()
+    # Times 2 and 1 are both the second of January, where the text 7 comes before 8; a missing time comes last.
+    assert rows(read_batches(spark, str(tmp_path / "out")).groupBy("v").count()) == [("7", 2000)]
+    assert sum(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["numInputRows"]) <= 16
+
+
+def test_repeats_of_a_batch_are_reduced_before_the_join(spark, rows):
+    data = [("r", "a", "z", 3), ("r", "a", "y", 2), ("r", "a", "x", 2), ("r", "b", None, None), ("r", "b", "w", None), (None, "a", "v", 1)]
+    df = spark.createDataFrame(data, "r string, c string, text string, s long").repartition(3)
+    df = df.select("r", "c", "text", F.timestamp_seconds("s").alias("at"))
+    assert rows(first_in_batch(df, ["r", "c"], "at"), "r", "c", "text") == [("r", "a", "x"), ("r", "b", "w"), (None, "a", "v")]
+
+
 def test_unreadable_messages_have_their_own_output(promotions, spark, tmp_path, rows):
     folder, run = promotions
     drop(folder, "1.txt", [campaign("a"), "{broken", "{}"])
