@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martwright.operators import lookup, period_rank
-from martwright.session import materialize
+from martwright.session import land, materialize
 from martwright.sources.state_table import StateTable, summed_rows
 from martwright.sources.writers import replace_period
 
@@ -51,7 +51,7 @@ class RetentionMart:
         if self.sales.has_applied(batch_id):
             return []
         refunded = F.when(F.col("status") == "refunded", 1).otherwise(0)
-        added = materialize(
+        added = land(
             lookup(sales, days, ["date_id"], ["week_of_year_iso"])
             .groupBy("customer_id", F.col("week_of_year_iso").alias("week"), F.col("item_id").cast("long").alias("item_id"))
             .agg(
@@ -60,10 +60,8 @@ class RetentionMart:
                 F.sum(refunded).cast("long").alias("refunds"),
             )
         )
-        people = added.select("customer_id").distinct()
-        before = self.sales.touched(people).join(people, "customer_id", "left_semi")
-        after = self.sales.merge(before.unionByName(added))
-        moved = self._contributions(after, 1).unionByName(self._contributions(before, -1))
+        stored = self.sales.touched(added, merged=False)
+        moved = self._moved(stored.withColumn("__old", F.lit(True)).unionByName(added.withColumn("__old", F.lit(False))))
         changed = self.cells.merge(moved).where(" or ".join(f"{m} <> 0" for m in MEASURES))
         changed = materialize(changed)
         if self.cells.commit(changed, batch_id):
@@ -73,25 +71,43 @@ class RetentionMart:
         self.sales.commit(added, batch_id)
         return weeks
 
-    def _contributions(self, sales: DataFrame, sign: int) -> DataFrame:
-        people = sales.groupBy("customer_id").agg(F.sum("n").alias("total"), F.sum("refunds").alias("total_refunds"))
-        rows = sales.join(people, "customer_id")
-        new = F.col("total") == 1
-        refunding = F.col("total_refunds" if self.strict else "refunds") > 0
-        refunds = F.col("n" if self.strict else "refunds")
-
-        def signed(condition, value):
-            return F.when(condition, value * F.lit(sign)).otherwise(F.lit(0))
+    def _moved(self, sales: DataFrame) -> DataFrame:
+        """What the cells of each customer with a new row gain: their measures of all rows less those of the ``__old`` ones.
 
+        Rows are shuffled once, by customer; cells and totals of a customer are made where the rows are.
+        """
+        old, customer = F.col("__old"), Window.partitionBy("customer_id")
+        sums = {"n": F.col("n"), "refunds": F.col("refunds"), "revenue": F.col("revenue")}
+        cells = (
+            sales.where("customer_id is not null")
+            .repartition("customer_id")
+            .groupBy("customer_id", *CELL)
+            .agg(
+                *(F.sum(value).alias(f"{name}_after") for name, value in sums.items()),
+                *(F.sum(F.when(old, value)).alias(f"{name}_before") for name, value in sums.items()),
+                F.max(old).alias("in_before"),
+                F.lit(True).alias("in_after"),
+                F.max(~old).alias("has_new"),
+            )
+        )
+        totals = {f"{kind}_{side}": F.sum(f"{name}_{side}").over(customer) for kind, name in (("total", "n"), ("total_refunds", "refunds")) for side in ("after", "before")}
+        rows = cells.withColumns({**totals, "has_new": F.max("has_new").over(customer)}).where("has_new")
+        after, before = self._measures("after"), self._measures("before")
+        return rows.select(*CELL, *((after[m] - before[m]).cast(kind).alias(m) for m, kind in MEASURES.items()))
+
+    def _measures(self, side: str) -> dict[str, Column]:
+        there, new = F.col(f"in_{side}"), F.col(f"total_{side}") == 1
+        refunding = F.col(f"total_refunds_{side}" if self.strict else f"refunds_{side}") > 0
+        revenue = F.coalesce(f"revenue_{side}", F.lit(0))
         values = {
-            "new_customers_count": signed(new, F.lit(1)),
-            "returning_customers_count": signed(~new, F.lit(1)),
-            "refunded_customer_count": signed(refunding, F.lit(1)),
-            "new_customers_revenue": signed(new, F.coalesce("revenue", F.lit(0))),
-            "returning_customers_revenue": signed(~new, F.coalesce("revenue", F.lit(0))),
-            "customers_refunded": signed(refunding, refunds),
+            "new_customers_count": (new, F.lit(1)),
+            "returning_customers_count": (~new, F.lit(1)),
+            "refunded_customer_count": (refunding, F.lit(1)),
+            "new_customers_revenue": (new, revenue),
+            "returning_customers_revenue": (~new, revenue),
+            "customers_refunded": (refunding, F.col(f"n_{side}" if self.strict else f"refunds_{side}")),
         }
-        return rows.select(*CELL, *(v.cast(MEASURES[m]).alias(m) for m, v in values.items()))
+        return {m: F.when(there & condition, value).otherwise(F.lit(0)).cast(MEASURES[m]) for m, (condition, value) in values.items()}
 
     def read(self, weeks: Sequence[str] | None = None) -> DataFrame:
         """Cells of the weeks, or of all, in the columns of ``customer_retention`` without the rank of the week."""

@@ -52,3 +52,14 @@ def test_a_load_that_is_lost_half_way_can_be_repeated(spark, tmp_path, table, ro
     mart.load(table(FACT, SECOND), days, 1)
     full = re.customer_retention(table(FACT, FIRST + SECOND), days)
     assert rows(mart.ranked(), *full.columns) == rows(full, *full.columns)
+
+
+def test_an_increment_shuffles_its_rows_once(spark, tmp_path, rows):
+    mart = RetentionMart(spark, str(tmp_path / "mart"), buckets=2)
+    schema = "customer_id long, week string, item_id long, n long, revenue decimal(38,2), refunds long, __old boolean"
+    one, ten = D("1.00"), D("10.00")
+    sales = [(1, "w1", 5, 1, one, 0, True), (1, "w2", 5, 1, ten, 1, False), (2, "w1", 5, 1, one, 0, True), (None, "w1", 5, 1, one, 0, False)]
+    moved = mart._moved(spark.createDataFrame(sales, schema))
+    assert moved._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    # The first sale of customer 1 is one of a returning customer now; customer 2 has no new sale, no customer counts nowhere.
+    assert rows(moved) == [("w1", 5, -1, 1, 0, -one, one, 0), ("w2", 5, 0, 1, 1, D("0.00"), ten, 1)]
