@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import gc
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.session import shared_dir
+from martwright.session import release, shared_dir  # noqa: F401
 
 # Words of the plain contracts: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,14 +47,3 @@ def prune_with_bloom(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "1g")
-
-
-def release(spark: SparkSession) -> None:
-    """Let the driver collect garbage now, so that Spark deletes shuffle files of frames that have been landed.
-
-    Twice, as Python's own references must have reached the JVM before it can let go.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
