@@ -83,6 +83,8 @@ def rake(
             expected = F.sum(F.col("mass") * F.col("probability")).over(Window.partitionBy(f"cell_{d}"))
             factor = F.when(expected > 0, F.col(f"share_{d}") * F.col("wanted") / expected).otherwise(1.0)
             cells = cells.withColumn("probability", F.least(F.lit(1.0), F.col("probability") * factor))
+        # One short plan per sweep: the plan of all sweeps together would fill the driver.
+        cells = land(cells)
     return cells.select(
         *[f"cell_{d}" for d in DIMENSIONS], F.col("mass").cast("long").alias("tokens"), F.round("probability", 9).alias("probability")
     )
