@@ -545,3 +545,29 @@ def test_pipeline_stages_keep_the_columns(spark, docs, none, tmp_path, monkeypat
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, given, "").columns == docs.columns
     assert corpus_pipeline.run(spark, "").columns[0] == "doc_id"
+
+
+def test_texts_of_classes_without_a_possible_pair_are_not_shuffled(spark, monkeypatch):
+    # 0.6 similar by inclusion: they meet in buckets, but their lengths rule all pairs out.
+    words = [[f"w{i}x{j}" for j in range(101)] for i in range(12)]
+    docs = spark.createDataFrame([(2 * i + k, " ".join(w[: 61 + 40 * k])) for i, w in enumerate(words) for k in (0, 1)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(minhash, "_sets", lambda texts, size, sets=minhash._sets: seen.append(texts.count()) or sets(texts, size))
+    assert {r.kept for r in minhash.near_duplicates(docs).collect()} == {True}
+    assert sum(seen) == 0
+
+
+def test_only_rows_that_may_go_meet_the_dropped_ones(spark):
+    text = " ".join(f"w{j}" for j in range(40))
+    rows = [(i, text if i % 3 == 0 else f"{i} only {i * i} here") for i in range(90)] + [(None, text), (None, None), (200, None), (3, "other words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = minhash.deduplicate(docs)
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        # All texts met the dropped rows in a shuffled join before.
+        assert "Join LeftOuter" in plan and "shiftright" in plan.split("Join LeftAnti")[1]
+        got = sorted((tuple(r) for r in kept.collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted((r for r in rows if r[0] in (0, None) or r[1] != text), key=str)
