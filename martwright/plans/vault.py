@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from martwright.functions import uuid3, uuid3_each
 from martwright.operators import first_by
+from martwright.session import small_tasks
 
 SOURCE = "dds-layer-orders-kafka"
 LOGIN = "userlogin"
@@ -93,6 +94,7 @@ def hub(rows: DataFrame, name: str) -> DataFrame:
 
     The natural keys are made unique first; only those are hashed.
     """
+    small_tasks(rows.sparkSession)
     source, pk, id_col, extra = HUBS[name]
     kept = rows.where(F.col(source).isNotNull()).groupBy(F.col(source).alias(id_col)).agg(
         *[F.max(c).alias(c) for c in extra], F.min("load_dt").alias("load_dt")
@@ -102,6 +104,7 @@ def hub(rows: DataFrame, name: str) -> DataFrame:
 
 def link(rows: DataFrame, name: str) -> DataFrame:
     """A link: one row per pair of business keys with its first load time."""
+    small_tasks(rows.sparkSession)
     pk, left, right = LINKS[name]
     a, b = HUBS[left][0], HUBS[right][0]
     pairs = rows.dropna(subset=[a, b]).groupBy(a, b).agg(F.min("load_dt").alias("load_dt"))
@@ -112,6 +115,7 @@ def link(rows: DataFrame, name: str) -> DataFrame:
 
 def satellite(rows: DataFrame, name: str) -> DataFrame:
     """A satellite: one row per hub key and hashed attribute, the latest one."""
+    small_tasks(rows.sparkSession)
     pk, hub_name, hashed, attrs = SATELLITES[name]
     source, hub_pk = HUBS[hub_name][0], HUBS[hub_name][1]
     columns = list(dict.fromkeys([source, hashed, *attrs.values()]))
@@ -366,6 +370,7 @@ def natural_counter_rows(rows: DataFrame) -> DataFrame:
 
 
 def _count_orders(rows: DataFrame, thing: str, hashed: bool, unit: str) -> DataFrame:
+    small_tasks(rows.sparkSession)
     keys, name = ["user_id", f"{thing}_id"], F.max(f"{thing}_name").alias(f"{thing}_name")
     once = rows.groupBy(*dict.fromkeys([*keys, "order_id", unit])).agg(name)
     counts = once.groupBy(*keys).agg(name, F.count(F.lit(1)).alias("order_cnt"))

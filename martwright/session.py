@@ -20,6 +20,10 @@ DEFAULTS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# What a task of a join or aggregate of narrow rows reads at most, if partitions are merged.
+TASK_BYTES = "16m"
+_TASK_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 
 def build_session(app: str = "martwright", master: str | None = None, **conf: str) -> SparkSession:
     """Create a session with the defaults above; the master comes from spark-submit unless given."""
@@ -68,3 +72,13 @@ def release(spark: SparkSession) -> None:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.5)
+
+
+def small_tasks(spark: SparkSession) -> None:
+    """Let adaptive execution merge shuffle partitions up to TASK_BYTES only, unless the session states a size.
+
+    Keys and dates compress well: the 64 MB that Spark aims at become gigabytes in the
+    sorts and hash tables of one task. With smaller tasks their memory is bounded.
+    """
+    if spark.conf.get(_TASK_SIZE, None) is None:
+        spark.conf.set(_TASK_SIZE, TASK_BYTES)

@@ -426,3 +426,17 @@ def test_turnover(table, rows):
     done = cu.global_metrics(tx, rates)
     assert cu.high_water_mark(done) == "2024-01-02"
     assert cu.high_water_mark(None) == cu.high_water_mark(done.where("false")) == "1900-01-01"
+
+
+def test_vault_tables_bound_what_a_task_reads(spark, table):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = table("order_id long, product_id long, load_dt date", [(1, 2, date(2024, 1, 1))])
+    spark.conf.unset(key)
+    try:
+        assert va.link(rows, "l_order_product").count() == 1
+        assert spark.conf.get(key) in ("16m", "16777216b")
+        spark.conf.set(key, "8m")
+        va.link(rows, "l_order_product")
+        assert spark.conf.get(key) in ("8m", "8388608b")
+    finally:
+        spark.conf.unset(key)
