@@ -181,6 +181,38 @@ def test_lines_without_id_stay(spark):
     assert sorted(str(r.text) for r in line_join.remove_lines(df).collect()) == ["a b c", "a b c", "a b c", "d"]
 
 
+def test_long_lines_that_share_few_words_are_not_compared(spark, monkeypatch):
+    rows = []
+    land = line_join.land
+    monkeypatch.setattr(line_join, "land", lambda df: (rows.append((df.columns, land(df))), rows[-1][1])[1])
+    texts = [" ".join(random.Random(i).sample([f"w{k}" for k in range(600)], 150)) for i in range(30)]
+    df = spark.createDataFrame([*enumerate(texts), (30, texts[3] + " more")], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in line_join.line_verdicts(df).collect()}
+    assert got == {i: int(i == 30) for i in range(31)}
+    pairs = {tuple(r) for columns, frame in rows if columns == ["a_place", "b_place"] for r in frame.collect()}
+    assert pairs == {((3, 0), (30, 0))}
+
+
+def test_similar_lines_of_all_lengths_and_spaces_equal_brute_force(spark):
+    r, lines = random.Random(5), []
+    for n in [2, 4, 5, 8, 9, 30, 55, 56, 57, 60, 70, 120, 200] * 3:
+        base = [f"{r.choice('abcdef')}{r.randrange(300)}" for _ in range(n)]
+        for share in (0, 0.05, 0.1, 0.15, 0.25):
+            words = [w if r.random() >= share else f"z{r.randrange(10**6)}" for w in base]
+            r.shuffle(words)
+            lines.append("".join(w.upper() + r.choice([" ", "\t", "  ", "\x0b", "\r"]) for w in words))
+    lines += ["", " \t ", *lines[:3]]
+    r.shuffle(lines)
+    seen, want = [], []
+    for line in lines:
+        s = frozenset(w for w in re.split(r"[ \t\r\x0b\f]+", line.lower()) if w)
+        want += [int(any(100 * len(s & o) >= 80 * len(s | o) for o in seen))] if s else [0]
+        seen += [s] if s else []
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in line_join.line_verdicts(df).collect()}
+    assert [got[i] for i in range(len(lines))] == want and 60 < sum(want) < len(lines) - 30
+
+
 def _hits(text, items):
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     hit, found = set(), set()
