@@ -2,7 +2,7 @@
 
 The words of a line are a set, ordered from rare to common. Two sets of the
 asked similarity must share a word in their prefixes, so lines meet on prefix
-words; lengths, the places of the shared word and a 64-bit parity of the sets
+words; lengths, the places of the shared word and parities of the sets (64 bits, 128 of long ones)
 rule out most pairs, and the Jaccard similarity of the full sets decides. A line goes if an earlier line
 (smaller doc_id, then line number) is similar.
 
@@ -175,8 +175,9 @@ def kept_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     joined = classes.where(f"100 * n >= {percent} * (n + 1)")
     settled = land(_similar(docs, levels, land(_sketched(joined, percent)), percent))
     release(spark)
-    marked = joined.drop("place", "sketches").join(settled.select("place.*", F.lit(True).alias("gone")), ["doc_id", "line_no"], "left").withColumn("open", F.col("gone").isNull())
-    marked, rest = land(marked), []
+    gone = settled.select("place.*", F.lit(True).alias("gone"))
+    marked = joined.drop("place", "sketches").join(gone, ["doc_id", "line_no"], "left")
+    marked, rest = land(marked.withColumn("open", F.col("gone").isNull()).drop("gone")), []
     for part in range(PARTS):
         rest.append(land(_met(marked, percent, part)))
         release(spark)
