@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions import EARTH_RADIUS_KM
 from martwright.operators.joins import broadcast_if_small, exclude
+from martwright.operators.ranking import number_rows
 from martwright.session import land, materialize
 
 # Cells with more rows than this are split into pieces that are joined by separate tasks.
 HOT_CELL_ROWS = 20_000
+# People who may pair are cut into groups of about so many rows, and into so many groups at most,
+# as a row is sent to a task for each group; small tables into a few groups.
+GROUP_ROWS = 400_000
+MOST_GROUPS, LEAST_GROUPS = 40, 6
+# Tags that are compared as bits of a long.
+BITS = 63
 # No cell is reached from more cells than this: three bands with at most twelve cells each.
 _REACHED_FROM = 36
 # Up to this many points are compared with each row in one expression, without a join.
@@ -55,6 +63,15 @@ class _Grid:
         ratio = F.least(F.lit(1.0), math.sin(min(self.reach, math.pi / 2)) / F.cos(F.radians(lat)))
         return F.when(near_pole, F.lit(180.0)).otherwise(F.degrees(F.asin(ratio)) * (1 + 1e-9) + 1e-9)
 
+    def spread(self, df: DataFrame, lat: Column, lon: Column) -> DataFrame:
+        """A row for each of the ``searched_cells``, as ``__band`` and ``__cell``; compiled, as it has no lambda."""
+        own, cells, span = self.band(lat), self.cells_in(F.col("__band")), self.half_width(lat)
+        df = df.withColumn("__band", F.explode(F.array(own - 1, own, own + 1))).where((F.col("__band") >= 0) & (F.col("__band") < self.bands))
+        df = df.withColumn("__cells", cells).withColumn("__first", F.floor((lon - span + 180.0) / 360.0 * F.col("__cells")))
+        last = F.least(F.floor((lon + span + 180.0) / 360.0 * F.col("__cells")), F.col("__first") + F.col("__cells") - 1)
+        df = df.withColumn("__cell", F.explode(F.sequence("__first", last)))
+        return df.withColumn("__cell", F.pmod("__cell", "__cells")).drop("__cells", "__first")
+
     def searched_cells(self, lat: Column, lon: Column) -> Column:
         """Array of the (band, cell) pairs that can hold points within the distance."""
         own = self.band(lat)
@@ -128,26 +145,111 @@ def _pairs_within(a, b, km, same, a_at, b_at, hot_rows=HOT_CELL_ROWS) -> DataFra
     return met.withColumn("distance_km", _chord_km(F.col("__square"))).where(F.col("distance_km") <= km)
 
 
+class PairBlocks:
+    """Deals rows of people so that all rows of two people are in one task, once.
+
+    People are cut in their order into groups of about ``rows`` rows; block (i, j)
+    gets the left rows of group i and the right rows of group j, i <= j. What is
+    joined or aggregated per block and pair needs no further shuffle, so pairs of
+    rows, which grow with the square of a place, are never written.
+    """
+
+    column = "__pairs"
+
+    def __init__(self, people: DataFrame, person: str, rows: int = GROUP_ROWS):
+        """``people`` has a row for each row that is dealt later."""
+        self.person = person
+        starts = number_rows(people.select(person).dropna(), [F.col(person)], "__n").groupBy(person).agg(F.min("__n").alias("__n"), F.count("*").alias("__rows"))
+        starts = land(starts)
+        total = starts.agg(F.coalesce(F.sum("__rows"), F.lit(0))).first()[0]
+        self.groups = min(MOST_GROUPS, max(math.ceil(total / rows), min(LEAST_GROUPS, math.ceil(total / 1000)), 1))
+        self.people = starts.select(person, F.floor((F.col("__n") - 1) * self.groups / max(total, 1)).cast("int").alias("__group"))
+
+    def _block(self, i: Column, j: Column) -> Column:
+        # Numbers from 0 without gaps, as they are task numbers.
+        return (i * self.groups - F.floor(i * (i - 1) / 2) + j - i).cast("int")
+
+    def left(self, df: DataFrame) -> DataFrame:
+        """Rows with ``__group``, in all blocks of which they are the left side."""
+        return self._deal(df.withColumn("__j", F.explode(F.sequence(F.col("__group"), F.lit(self.groups - 1)))), F.col("__group"), F.col("__j"))
+
+    def right(self, df: DataFrame) -> DataFrame:
+        """Rows with ``__group``, in all blocks of which they are the right side."""
+        return self._deal(df.withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("__group")))), F.col("__j"), F.col("__group"))
+
+    def pairs(self, df: DataFrame) -> DataFrame:
+        """Rows of <person>_left and <person>_right in the block of the pair; pairs of people without rows go."""
+        one, two = (self.people.toDF(f"{self.person}_{side}", name) for side, name in (("left", "__group"), ("right", "__j")))
+        return self._deal(df.join(one, f"{self.person}_left").join(two, f"{self.person}_right").where(F.col("__group") <= F.col("__j")), F.col("__group"), F.col("__j"))
+
+    def _deal(self, df: DataFrame, i: Column, j: Column) -> DataFrame:
+        dealt = df.withColumn(self.column, self._block(i, j)).drop("__group", "__j")
+        return dealt.repartitionById(self.groups * (self.groups + 1) // 2, F.col(self.column))
+
+
+def _tags(members: DataFrame, people: DataFrame, person: str, tag: str) -> tuple[DataFrame, bool]:
+    """Tags of the people with places, and whether two people share one or more on average.
+
+    If they do, people meet by place alone: the most frequent tags are bits of ``__bits``,
+    all others the list ``__rare``. Else they meet tag by tag of the list ``__tags``.
+    """
+    members = materialize(members.select(person, tag).dropna().distinct().join(people.select(person), person))
+    counts = members.groupBy(tag).agg(F.count("*").alias("__n"))
+    shared = counts.agg(F.sum(F.col("__n").cast("double") * F.col("__n"))).first()[0] or 0.0
+    held = members.groupBy(person)
+    if shared < float(members.select(person).distinct().count()) ** 2:
+        return held.agg(F.array_sort(F.collect_list(tag)).alias("__tags")), False
+    # A bounded list: as many tags as a long has bits.
+    most = counts.orderBy(F.col("__n").desc(), tag).limit(BITS).collect()
+    kind = members.schema[tag].dataType
+    bit = reduce(lambda found, x: found.when(F.col(tag) == F.lit(x[1][tag]).cast(kind), F.lit(1 << x[0])), enumerate(most), F.when(F.lit(False), F.lit(0)))
+    bits = members.withColumn("__bit", bit.cast("long")).groupBy(person)
+    rare = F.collect_list(F.when(F.col("__bit").isNull(), F.col(tag)))
+    held = bits.agg(F.coalesce(F.bit_or("__bit"), F.lit(0)).cast("long").alias("__bits"), rare.alias("__rare"))
+    return held.withColumn("__rare", F.when(F.size("__rare") > 0, F.col("__rare"))), True
+
+
+def _sharing(left: DataFrame, right: DataFrame, members: DataFrame, person: str, tag: str, cell: Sequence[str], blocks: PairBlocks, ready: Sequence[Callable[[DataFrame], DataFrame]] = ()) -> DataFrame:
+    """Pairs of rows of ``left`` and ``right`` in one cell, the person on the left being the smaller one, who share a tag.
+
+    Rows have the columns of both sides and ``blocks.column``, by which they stay dealt.
+    ``ready`` makes columns of the left and of the right rows after dealing, so that they are not shuffled.
+    """
+    tags, by_place = _tags(members, blocks.people, person, tag)
+    tags = land(tags.join(blocks.people, person))
+    one, two = f"{person}_left", f"{person}_right"
+    # Whatever their size: rows of places are joined to the tags of their people without going through the driver.
+    held = [tags.withColumnRenamed(person, p).hint("merge") for p in (one, two)]
+    a, b = blocks.left(left.join(held[0], one)), blocks.right(right.join(held[1], two))
+    if ready:
+        a, b = ready[0](a), ready[1](b)
+    keys = [blocks.column, *cell]
+    if by_place:
+        a, b = (df.withColumnsRenamed({"__bits": f"__bits_{x}", "__rare": f"__rare_{x}"}) for df, x in ((a, "a"), (b, "b")))
+        shares = (F.col("__bits_a").bitwiseAND(F.col("__bits_b")) != 0) | F.coalesce(F.arrays_overlap("__rare_a", "__rare_b"), F.lit(False))
+    else:
+        # A pair counts by the first of the tags that it shares.
+        a, b = (df.select("*", F.posexplode("__tags").alias("__at", "__tag")).withColumn(f"__before_{x}", F.slice("__tags", F.lit(1), F.col("__at"))).drop("__tags", "__at") for df, x in ((a, "a"), (b, "b")))
+        keys, shares = [*keys, "__tag"], ~F.arrays_overlap("__before_a", "__before_b")
+    # Spark sorts by the first bytes of the first key, which are to tell most cells apart.
+    a, b = (df.withColumn("__hash", F.xxhash64(*keys[1:])) for df in (a, b))
+    met = a.join(b.hint("merge"), ["__hash", *keys]).where((F.col(one) < F.col(two)) & shares)
+    return met.drop("__hash", "__tag", *(f"__{name}_{x}" for name in ("bits", "rare", "before") for x in "ab"))
+
+
 def sharing_pairs(
-    left: DataFrame, right: DataFrame, members: DataFrame, person: str, tag: str, cell: Sequence[str], hot_rows: int = HOT_CELL_ROWS
+    left: DataFrame, right: DataFrame, members: DataFrame, person: str, tag: str, cell: Sequence[str], hot_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Distinct (<person>_left, <person>_right, *cell) of people with places in a cell who share a tag.
 
-    People meet through the inverted list of (cell, tag), so people without a common
-    tag never meet, however crowded the cell is. A list that is too long for a
-    task is cut into pieces like a crowded cell.
+    People meet through the list of a cell, or of (cell, tag) where tags are
+    narrow, so people without a common tag never meet, however crowded the cell
+    is. They are dealt by ``PairBlocks`` in groups of about ``hot_rows`` rows.
     """
-    keys = [*cell, tag]
-    sides = [materialize(df.select(person, *cell).distinct().join(members, person).select(person, *keys)) for df in (left, right)]
+    sides = [df.select(person, *cell).distinct() for df in (left, right)]
+    blocks = PairBlocks(sides[0].select(person).unionByName(sides[1].select(person)), person, hot_rows)
     one, two = (df.withColumnRenamed(person, f"{person}_{side}") for df, side in zip(sides, ("left", "right"), strict=True))
-    crowd = _crowded(one, keys, hot_rows).unionByName(_crowded(two, keys, hot_rows))
-    hot = materialize(crowd.groupBy(*keys).agg(F.ceil(F.max("__n") / hot_rows).cast("int").alias("__k")))
-    if not hot.isEmpty():
-        one = _pieces(one, hot, keys, [f"{person}_left"], "__piece_a", "__piece_b")
-        two = _pieces(two, hot, keys, [f"{person}_right"], "__piece_b", "__piece_a")
-        keys = [*keys, "__piece_a", "__piece_b"]
-    met = one.join(two, keys).where(F.col(f"{person}_left") < F.col(f"{person}_right"))
-    return met.select(f"{person}_left", f"{person}_right", *cell).distinct()
+    return _sharing(one, two, members, person, tag, cell, blocks).select(f"{person}_left", f"{person}_right", *cell)
 
 
 def close_pairs(
@@ -159,32 +261,45 @@ def close_pairs(
     same: Sequence[str] = (),
     at: tuple[str, str] = ("lat", "lon"),
     without: DataFrame | None = None,
-    hot_rows: int = HOT_CELL_ROWS,
+    hot_rows: int = GROUP_ROWS,
+    blocks: PairBlocks | None = None,
 ) -> DataFrame:
     """Spots of two people within ``km`` who agree on ``same`` and share a tag, with ``distance_km``.
 
     ``members`` has the tags of each person, ``without`` pairs (<person>_left,
-    <person>_right) to leave out. Pairs of people are found and reduced before any
-    distance is taken. Rows have the columns of the left person's spot, whose
-    person is the smaller one, and <person>_right.
+    <person>_right) to leave out. Spots meet in the task of their pair of people and
+    a distance is taken only for people who share a tag; pairs are never shuffled.
+    Rows have the columns of the left person's spot, whose person is the smaller one,
+    and <person>_right. With ``blocks`` of the spots they keep its column too, and
+    stay dealt by it for what is done per pair.
     """
     grid = _Grid(km)
     lat, lon = F.col(at[0]), F.col(at[1])
-    spots = materialize(spots.dropna(subset=[person, *at]))
-    placed = spots.withColumn("__band", grid.band(lat)).withColumn("__cell", grid.own_cell(lon, grid.cells_in(F.col("__band"))))
-    reach = spots.select(person, *same, *at, F.explode(grid.searched_cells(lat, lon)).alias("__at"))
-    reach = reach.withColumn("__band", F.col("__at.__band")).withColumn("__cell", F.col("__at.__cell")).drop("__at")
-    cell = [*same, "__band", "__cell"]
-    pairs = sharing_pairs(placed, reach, members, person, tag, cell, hot_rows)
+    spots = spots.dropna(subset=[person, *at])
+    dealt = blocks
+    if blocks is None:
+        spots = land(spots)
+        dealt = PairBlocks(spots, person, hot_rows)
+    one, two = f"{person}_left", f"{person}_right"
+    right_at = tuple(f"__right_{c}" for c in at)
+    right = spots.select(F.col(person).alias(two), *same, *(F.col(c).alias(name) for c, name in zip(at, right_at, strict=True)))
+
+    # Unit vectors are made once per row, so that a pair costs a few multiplications.
+    def placed(df: DataFrame) -> DataFrame:
+        df = df.withColumn("__band", grid.band(lat)).withColumn("__cell", grid.own_cell(lon, grid.cells_in(F.col("__band"))))
+        return _with_vector(df, at, "__a")
+
+    def reach(df: DataFrame) -> DataFrame:
+        return grid.spread(_with_vector(df, right_at, "__b"), *map(F.col, right_at)).drop(*right_at)
+
+    met = _sharing(spots.withColumnRenamed(person, one), right, members, person, tag, [*same, "__band", "__cell"], dealt, (placed, reach))
     if without is not None:
-        pairs = exclude(pairs, without, [f"{person}_left", f"{person}_right"])
-    one = _with_vector(placed, at, "__a").withColumnRenamed(person, f"{person}_left")
-    two = _with_vector(reach, at, "__b").withColumnRenamed(person, f"{person}_right").drop(*at)
-    # Spark guesses both sides from the files they came from, before their rows were repeated per cell, and would send them through the driver.
-    met = pairs.join(one.hint("merge"), [f"{person}_left", *cell]).join(two.hint("merge"), [f"{person}_right", *cell])
+        met = exclude(met, dealt.pairs(without), [dealt.column, one, two])
     met = met.withColumn("__square", sum(_square(F.col(f"__a{i}") - F.col(f"__b{i}")) for i in "xyz")).where(F.col("__square") <= grid.square_chord)
-    met = met.withColumn("distance_km", _chord_km(F.col("__square"))).where(F.col("distance_km") <= km)
-    return met.select(*(c if c != person else f"{person}_left" for c in spots.columns), f"{person}_right", "distance_km")
+    # Well inside, the distance itself need not be asked.
+    sure = (2 * math.sin(min(math.pi, km * (1 - 1e-9) / EARTH_RADIUS_KM) / 2)) ** 2
+    met = met.withColumn("distance_km", _chord_km(F.col("__square"))).where((F.col("__square") <= sure) | (F.col("distance_km") <= km))
+    return met.select(*([dealt.column] if blocks else []), *(c if c != person else one for c in spots.columns), two, "distance_km")
 
 
 def _with_vector(df: DataFrame, at: tuple[str, str], name: str) -> DataFrame:

@@ -12,6 +12,7 @@ from martwright.functions import local_time
 from martwright.operators import (
     change_points,
     count_flags,
+    exclude,
     fill_zero,
     first_by,
     full,
@@ -19,11 +20,13 @@ from martwright.operators import (
     hot_keys,
     list_parts,
     nearest,
+    number_rows,
     ordered_list,
     previous_value,
 )
 from martwright.operators.changes import CHECK
-from martwright.session import materialize
+from martwright.operators.spatial import PairBlocks
+from martwright.session import land, materialize
 
 DEFAULT_ZONE = "Australia/ACT"
 
@@ -234,10 +237,9 @@ def recommend_friends(
     """Pairs who were within ``km`` on one day, never wrote to each other and share a channel.
 
     Each pair comes once (lower id left) with zone and local time of its
-    closest meeting. Users meet through the list of (cell, day, channel), so
-    distances are taken only for pairs who share a channel and have not written.
-    The closest meeting is a minimum that is combined before the shuffle, so
-    meetings of a pair do not pile up.
+    closest meeting. Distances are taken only for people who share a channel, and
+    meetings are found, reduced to the closest one and checked for messages in the
+    task of the pair (``PairBlocks``): neither meetings nor pairs are shuffled.
     """
     subscribed = located.where(F.col("event_type") == "subscription").select(
         F.col("event.user").alias("user"), F.col("event.subscription_channel").alias("channel_id")
@@ -245,27 +247,24 @@ def recommend_friends(
     membership = materialize(subscribed.dropna().distinct())
     members = membership.select(F.col("user").alias("user_id")).distinct()
     spots = participants(located).join(members, "user_id", "left_semi").withColumnRenamed("user_id", "user")
+    spots = spots.withColumn("local_time", local_time("message_ts", "city", zones, default_zone))
+    # Of equally close meetings the one at the earlier of the left person's spots counts: the place in this order stands for the spot.
+    order = [F.col(c) for c in ("date", "message_ts", "zone_id", "lat", "lon", "city", "user")]
+    spots = land(number_rows(spots, order, "spot").select("user", "date", "lat", "lon", "spot", "zone_id", "local_time"))
     wrote = located.select(
         F.least("event.message_from", "event.message_to").alias("user_left"),
         F.greatest("event.message_from", "event.message_to").alias("user_right"),
     ).distinct()
-    met = close_pairs(spots, membership, km, "user", "channel_id", ["date"], without=wrote)
-    # Distances are compared in millimetres so that rounding noise does not pick the meeting.
-    closeness = F.struct(
-        F.round(F.col("distance_km") * 1_000_000).cast("long").alias("mm"),
-        "date",
-        "message_ts",
-        "zone_id",
-        "lat",
-        "lon",
-        "city",
-    )
-    friends = met.groupBy("user_left", "user_right").agg(F.min(closeness).alias("meeting"))
+    blocks = PairBlocks(spots, "user")
+    met = close_pairs(spots, membership, km, "user", "channel_id", ["date"], blocks=blocks)
+    # Distances are compared in millimetres so that rounding noise does not pick the meeting. As one number, as structs would make Spark sort instead of hash.
+    millimetres = F.round(F.col("distance_km") * 1_000_000).cast("long")
+    bits = 63 - int(km * 1_000_000 + 1).bit_length()
+    whole = "long" if spots.count() < 2**bits else "decimal(38,0)"
+    closeness = millimetres.cast(whole) * F.lit(2**bits if whole == "long" else 10**20).cast(whole) + F.col("spot")
+    pair = [blocks.column, "user_left", "user_right"]
+    friends = met.withColumn("closeness", closeness).groupBy(*pair).agg(*(F.min_by(c, "closeness").alias(c) for c in ("zone_id", "local_time")))
     stamp = F.current_timestamp() if processed is None else F.lit(processed)
-    return friends.select(
-        "user_left",
-        "user_right",
-        stamp.cast("timestamp_ntz").alias("processed_dttm"),
-        F.col("meeting.zone_id").alias("zone_id"),
-        local_time("meeting.message_ts", "meeting.city", zones, default_zone).alias("local_time"),
+    return exclude(friends, blocks.pairs(wrote).hint("merge"), pair).select(
+        "user_left", "user_right", stamp.cast("timestamp_ntz").alias("processed_dttm"), "zone_id", "local_time"
     )

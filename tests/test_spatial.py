@@ -176,3 +176,38 @@ def test_spots_of_close_pairs_are_never_broadcast(spark):
     joins = re.findall(r"(\w*Join) \[user_(?:left|right)#", plan)
     assert joins == ["SortMergeJoin", "SortMergeJoin"], plan
     assert found.count() == 1
+
+
+def test_meetings_of_pairs_are_not_shuffled(spark):
+    spots = spark.range(20).select(F.col("id").alias("user"), F.lit("a").alias("day"), (F.col("id") * 0.001).alias("lat"), F.lit(0.0).alias("lon"))
+    members = spark.range(20).select(F.col("id").alias("user"), (F.col("id") % 2).alias("tag"))
+    blocks = spatial.PairBlocks(spots, "user", hot_rows := 4)
+    assert blocks.groups == 20 // hot_rows
+    met = close_pairs(spots, members, 1.0, "user", "tag", ["day"], blocks=blocks)
+    pair = [blocks.column, "user_left", "user_right"]
+    found = met.groupBy(*pair).agg(F.min("distance_km")).join(blocks.pairs(spark.createDataFrame([(0, 2)], "user_left long, user_right long")), pair, "left_anti")
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    join = next(line for line in plan.splitlines() if "SortMergeJoin [__hash" in line)
+    # What stands above the join of spots, and what it is fed with besides sorts and columns, is dealt by block only.
+    above = plan[: plan.index(join)]
+    assert "Exchange" not in above and plan.count("shufflepartitionidpassthrough") == 3, plan
+    km_of = {(a, b): (b - a) * 0.1112 for a in range(20) for b in range(a + 1, 20)}
+    assert {r[1:3] for r in map(tuple, found.collect())} == {p for p, km in km_of.items() if km <= 1 and (p[1] - p[0]) % 2 == 0} - {(0, 2)}
+
+
+@pytest.mark.parametrize("bits", [0, 2, 63])
+def test_broad_and_rare_tags_meet_by_place(spark, rows, monkeypatch, bits):
+    monkeypatch.setattr(spatial, "BITS", bits)
+    r = random.Random(5)
+    spots = spark.createDataFrame(sorted({(r.randrange(12), r.uniform(0, 0.02)) for _ in range(60)}), "user int, lat double").withColumn("lon", F.lit(0.0)).withColumn("day", F.lit(1))
+    tags = sorted({(u, t) for u in range(12) for t in ("x", "y", *"abcdefgh"[u % 8]) if t > "h" and u % 3 or t <= "h"})
+    held = {u: {t for v, t in tags if v == u} for u in range(12)}
+    members = spark.createDataFrame(tags, "user int, tag string")
+    assert spatial._tags(members, spots, "user", "tag")[1]
+    shared = {(a, b) for a in range(12) for b in range(a + 1, 12) if held[a] & held[b]}
+    assert len(shared) < 66
+    found = close_pairs(spots, members, 1.0, "user", "tag", ["day"], hot_rows=20)
+    right = spots.toDF("user_right", "lat_b", "lon_b", "day")
+    every = grid_join(spots.withColumnRenamed("user", "user_left"), right, 1.0, ["day"])
+    expected = [x for x in rows(every, "user_left", "user_right", "lat", "distance_km") if x[:2] in shared]
+    assert expected and rows(found, "user_left", "user_right", "lat", "distance_km") == expected
