@@ -22,7 +22,7 @@ from martwright.streaming import (
     send_triggers,
     vault_table,
 )
-from martwright.streaming.orders import KEYS, category_counters, product_counters, vault_state
+from martwright.streaming.orders import KEYS, category_counters, counter_state, product_counters, vault_state
 
 NOW = 1705276800000
 LINE = T.StructType([T.StructField("value", T.StringType())])
@@ -243,3 +243,25 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path, table, rows):
         batch(messages, number)
     assert vault_table(spark, str(tmp_path), "h_user", 2).count() == 1
     assert [v.version for v in vault_state(spark, str(tmp_path), 2).pointer().versions] == [0, 1]
+
+
+def test_counters_remember_digests_only(spark, tmp_path, table, rows):
+    target = str(tmp_path / "t")
+
+    def message(order, *things):
+        fields = {
+            "h_user": {"h_user_pk": "u"}, "h_order": {"h_order_pk": order}, "h_category": [{"h_category_pk": c, "category_name": c} for _, c in things],
+            "l_product_category": [{"h_product_pk": p, "h_category_pk": c} for p, c in things], "s_product_names": [{"h_product_pk": p, "name": p} for p, _ in things],
+        }
+        return ("o", "order", json.dumps(fields))
+
+    sink = load_counters(target)
+    batches = [[message("1", ("a", "x"), ("b", "x"))], [message("2", ("a", None)), message("1", ("a", "x"))], [message("2", ("a", None))]]
+    for n, batch in enumerate(batches):
+        sink(table("object_id string, object_type string, payload string", batch), n)
+    # A row without a key cannot be recognised, so it counts each time.
+    assert rows(product_counters(spark, target), "product_id", "order_cnt") == [("a", 2), ("b", 1)]
+    assert rows(category_counters(spark, target), "category_id", "order_cnt") == [("x", 1), (None, 2)]
+    seen = counter_state(spark, target).read().where("kind = 'seen'")
+    assert {len(r.user_id) for r in seen.collect()} == {24} and seen.where("thing_id is not null or name is not null").isEmpty()
+    assert seen.count() == 4
